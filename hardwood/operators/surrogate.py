@@ -15,27 +15,37 @@ from hardwood.session import materialize
 _POSITION_BITS = 33
 
 
-def assign_ids(rows: DataFrame, natural_key: Sequence[str], id_column: str, after: int = 0) -> DataFrame:
+def assign_ids(
+    rows: DataFrame, natural_key: Sequence[str], id_column: str, after: int = 0, known: str | None = None
+) -> DataFrame:
     """Add ids ``after + 1, after + 2, ...`` in natural-key order.
 
-    Rows are range-partitioned and sorted on their unique natural key, and
-    written once with their partition number and position. One count per partition
-    then reaches the driver, and every id follows from plain arithmetic.
+    Rows whose ``known`` column holds an id keep it and come last, so the new ids
+    have no gaps. Rows are range-partitioned and sorted on their unique natural
+    key, and written once with their partition number and position. One count
+    per partition then reaches the driver, and every id follows from plain
+    arithmetic. The result reads the written rows, so it also serves as the
+    staged copy of ``rows``.
     """
+    order = [F.col(name) for name in natural_key]
+    if known is not None:
+        order.insert(0, F.col(known).isNotNull())
     ordered = (
-        rows.repartitionByRange(*natural_key)
-        .sortWithinPartitions(*natural_key)
+        rows.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_position", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
     )
     staged = materialize(ordered, f"ids-{id_column}")
     sizes = sorted((r[0], r[1]) for r in staged.groupBy("_part").agg(F.max("_position") + 1).collect())
-    starts = [after, *accumulate((size for _, size in sizes), initial=after)][1:]
+    starts = accumulate((size for _, size in sizes), initial=after)
     offsets = rows.sparkSession.createDataFrame(
         [(part, start) for (part, _), start in zip(sizes, starts)],
         T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_start", T.LongType())]),
     )
     # One row per written partition, so the broadcast side is bounded by the partition count.
+    fresh = F.col("_start") + F.col("_position") + 1
+    value = fresh if known is None else F.coalesce(F.col(known), fresh)
     return staged.join(F.broadcast(offsets), "_part").select(
-        (F.col("_start") + F.col("_position") + 1).alias(id_column), *rows.columns
+        value.alias(id_column), *(name for name in rows.columns if name != known)
     )
