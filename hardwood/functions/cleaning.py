@@ -26,6 +26,11 @@ def to_number(column: Column) -> Column:
     return F.when(column.rlike(NUMBER), F.trim(column).try_cast("double"))
 
 
+def whole_number(column: Column) -> Column:
+    """A count that may be written ``105`` or ``105.0``; NULL when it is not a number or does not fit."""
+    return F.round(to_number(column.cast("string"))).try_cast("int")
+
+
 def without_sentinel(column: Column, sentinel: str = "0") -> Column:
     """NULL in place of the value that stands for 'none'."""
     return F.nullif(column, F.lit(sentinel))

@@ -35,4 +35,4 @@ def latest_of_few(df: DataFrame, keys: Sequence[str], attributes: Sequence[str],
     sorted or shuffled.
     """
     folded = df.groupBy(*keys, *attributes).agg(F.max(stamp).alias(stamp))
-    return latest(folded, keys, stamp, attributes)
+    return latest(folded, keys, stamp, attributes) if attributes else folded
