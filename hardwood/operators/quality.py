@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,15 +96,14 @@ def quality(df: DataFrame, rules: QualityRules, table: str) -> DataFrame:
     return by_row.unionByName(by_key).select(F.lit(table).alias("table"), "check", "column", "n_bad", "n_rows")
 
 
-def comment(report: DataFrame) -> str:
-    """A quality report as one line of text. The report has one row per check, so it is small."""
-    rows = report.collect()
-    missing = ", ".join(f"{r.column}: {r.n_bad}" for r in rows if r.check == MISSING and r.n_bad)
-    duplicates = next(r for r in rows if r.check == DUPLICATE)
+def comment(report: Sequence[Row]) -> str:
+    """The collected rows of a quality report, one per check, as one line of text."""
+    missing = ", ".join(f"{r.column}: {r.n_bad}" for r in report if r.check == MISSING and r.n_bad)
+    duplicates = next(r for r in report if r.check == DUPLICATE)
     return (
         f"Missing values: {missing}; Duplicates ({duplicates.column}): {duplicates.n_bad}; "
-        f"Format issues: {sum(r.n_bad for r in rows if r.check == FORMAT)}; "
-        f"Business rule issues: {sum(r.n_bad for r in rows if r.check == BUSINESS)}"
+        f"Format issues: {sum(r.n_bad for r in report if r.check == FORMAT)}; "
+        f"Business rule issues: {sum(r.n_bad for r in report if r.check == BUSINESS)}"
     )
 
 

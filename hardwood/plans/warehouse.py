@@ -54,7 +54,7 @@ class Warehouse:
         path = self.path(layer, name)
         if not stage.path_exists(self.spark, path):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(path).select(schema.names)
 
     def stage_table(self, table: t.StageTable, season: int | None = None) -> DataFrame:
         """Stage rows of a relational table, all seasons or one partition."""
@@ -92,12 +92,12 @@ def sync_static(wh: Warehouse, table: t.StageTable, source: DataFrame, run_at: d
     """
     if source.isEmpty():
         return LoadResult(table.name, "SYNC")
-    remarks = "; ".join(filter(None, (comment(quality(source, table.quality, table.name)), _overlong(source, table))))
+    remarks, n_rows = _inspect(source, table)
     path = wh.path("stage", table.name)
     stored = wh.stage_table(table)
     if stored.isEmpty():
         stage.append(source, path, run_at)
-        return LoadResult(table.name, "FULL_LOAD", {"new": source.count()}, remarks)
+        return LoadResult(table.name, "FULL_LOAD", {"new": n_rows}, remarks)
     if table.load_once:
         return LoadResult(table.name, "SKIPPED", remarks=remarks)
     classified = materialize(
@@ -111,19 +111,19 @@ def sync_static(wh: Warehouse, table: t.StageTable, source: DataFrame, run_at: d
     return LoadResult(table.name, "SYNC", counts, remarks)
 
 
-def _overlong(rows: DataFrame, table: t.StageTable) -> str:
-    report = text_lengths(rows, table.name, table.length_limits or {name: 100 for name in table.columns})
-    return ", ".join(
-        f"{row.column} has {row.max_length} characters, over {row.length_limit}"
-        for row in report.where("too_long").collect()
-    )
+def _inspect(rows: DataFrame, table: t.StageTable) -> tuple[str, int]:
+    """Remarks on quality and text lengths, and the number of rows."""
+    report = quality(rows, table.quality, table.name).collect()
+    limits = table.length_limits or {name: 100 for name in table.columns}
+    overlong = text_lengths(rows, table.name, limits).where("too_long").collect()
+    remarks = [comment(report)] + [
+        f"{row.column} has {row.max_length} characters, over {row.length_limit}" for row in overlong
+    ]
+    return "; ".join(remarks), report[0].n_rows
 
 
-def _load_season(wh: Warehouse, table: t.StageTable, rows: DataFrame, year: int, run_at: dt.datetime,
-                 checked: DataFrame | None = None) -> LoadResult:
-    report = comment(quality(rows if checked is None else checked, table.quality, table.name))
-    remarks = "; ".join(filter(None, (report, _overlong(rows, table))))
-    n_rows = rows.count()
+def _load_season(wh: Warehouse, table: t.StageTable, rows: DataFrame, year: int, run_at: dt.datetime) -> LoadResult:
+    remarks, n_rows = _inspect(rows, table)
     if n_rows:
         stage.replace_season(rows, wh.path("stage", table.name), year, run_at)
     return LoadResult(table.name, "INCREMENTAL_LOAD", {"new": n_rows}, remarks)
@@ -141,10 +141,16 @@ def load_line_scores(wh: Warehouse, extract: DataFrame, year: int, run_at: dt.da
 
 def load_shots(wh: Warehouse, csv_path: str, year: int, run_at: dt.datetime) -> LoadResult:
     raw = shot_csv.one_season(shot_csv.read_shots(wh.spark, csv_path), year)
+    remarks, n_rows = _inspect(raw, t.SHOT_DATA)
     cleaned = shot_csv.clean_shots(raw)
-    result = _load_season(wh, t.SHOT_DATA, shot_csv.valid_rows(cleaned), year, run_at, checked=raw)
     skipped = shot_csv.rejected_rows(cleaned).count()
-    return LoadResult(result.table, result.mode, {**result.counts, "skipped": skipped}, result.remarks)
+    if n_rows > skipped:
+        stage.replace_season(
+            shot_csv.valid_rows(cleaned), wh.path("stage", t.SHOT_DATA.name), year, run_at
+        )
+    return LoadResult(
+        t.SHOT_DATA.name, "INCREMENTAL_LOAD", {"new": n_rows - skipped, "skipped": skipped}, remarks
+    )
 
 
 # -------------------------------------------------------------- warehouse
@@ -159,9 +165,16 @@ def load_upsert(wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame) -
     path = wh.path("dds", table.name)
     target = wh.table(table)
     kept = [name for name in (table.surrogate, table.partition) if name]
-    staged = materialize(candidates, f"candidates-{table.name}")
-    known = known_rows(staged, target, table.key, [STAMP, *kept], table.nullable_key)
-    changes = newer_than_target(staged, known, table.key, carry=kept, nullable=table.nullable_key)
+    if stage.path_exists(wh.spark, path):
+        staged = materialize(candidates, f"candidates-{table.name}")
+        known = known_rows(staged, target, table.key, [STAMP, *kept], table.nullable_key)
+        changes = newer_than_target(staged, known, table.key, carry=kept, nullable=table.nullable_key)
+    else:
+        staged = None
+        changes = candidates.withColumns({
+            **{f"known_{name}": F.lit(None).cast(table.schema[name].dataType) for name in kept},
+            "status": F.lit(INSERTED),
+        })
     if table.surrogate:
         last = target.agg(F.max(table.surrogate)).first()[0] or 0
         changes = assign_ids(changes, table.key, table.surrogate, last, known=f"known_{table.surrogate}")
@@ -173,6 +186,7 @@ def load_upsert(wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame) -
             publish_changes(target, changes, path, table.partition, table.key, table.nullable_key)
         else:
             replace_whole(upsert(target, changes, table.key, table.nullable_key), path, table.key, table.name)
+    counts[UNCHANGED] = staged.count() - sum(counts.values()) if staged else 0
     return LoadResult(table.name, "UPSERT", counts)
 
 
@@ -285,4 +299,17 @@ def run_season(
         load_line_scores(wh, line_scores, year, run_at),
         load_shots(wh, shots_csv, year, run_at),
     ]
-    return results + load_dds(wh, run_at, year) + load_marts(wh, run_at)
+    results += load_dds(wh, run_at, year) + load_marts(wh, run_at)
+    log_results(wh, results, run_at)
+    return results
+
+
+def log_results(wh: Warehouse, results: list[LoadResult], run_at: dt.datetime) -> None:
+    """Append one row per load and status to the audit table."""
+    rows = [
+        (run_at, r.table, r.mode, status, n_rows, r.remarks)
+        for r in results for status, n_rows in (r.counts.items() or [("none", 0)])
+    ]
+    wh.spark.createDataFrame(rows, t.LOAD_AUDIT).coalesce(1).write.mode("append").parquet(
+        wh.path("tech", "load_audit")
+    )

@@ -63,8 +63,24 @@ class WarehouseTable:
     nullable_key: tuple[str, ...] = ()
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "float": T.FloatType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp_ntz": NTZ,
+    "share": T.DecimalType(5, 2),
+    "average": T.DecimalType(10, 2),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    """Schema from ``name type`` pairs; needs no running session."""
+    pairs = (pair.split() for pair in text.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # --------------------------------------------------------------------------
@@ -344,16 +360,18 @@ FACT_GAMES = WarehouseTable(
 PLAYER_SHOT_EFFICIENCY = _schema("""
     player_id bigint, full_name string, season_year int, team_id bigint, team_name string, position string,
     basic_zone string, zone_name string, zone_range string, games_played int, shot_attempts int, shots_made int,
-    zone_fg_percentage decimal(5,2), shots_per_game decimal(10,2), points_per_zone decimal(10,2),
+    zone_fg_percentage share, shots_per_game average, points_per_zone average,
     load_timestamp timestamp_ntz
 """)
 TEAM_ATTACK_EFFICIENCY = _schema("""
-    team_id bigint, season_year int, team_name string, games_played int, total_points int, team_ppg decimal(10,2),
-    fgm int, fga int, team_fg_percentage decimal(5,2), fg3m int, fg3a int, team_3p_percentage decimal(5,2),
-    paint_points int, paint_points_per_game decimal(10,2), load_timestamp timestamp_ntz
+    team_id bigint, season_year int, team_name string, games_played int, total_points int, team_ppg average,
+    fgm int, fga int, team_fg_percentage share, fg3m int, fg3a int, team_3p_percentage share,
+    paint_points int, paint_points_per_game average, load_timestamp timestamp_ntz
 """)
 THREE_POINT_TRENDS = _schema("""
-    team_id bigint, season_year int, team_name string, games_played int, fg3a int, team_3pa_per_game decimal(10,2),
-    fg3m int, team_3p_percentage decimal(5,2), three_point_points int, total_points int,
-    three_point_contribution decimal(5,2), load_timestamp timestamp_ntz
+    team_id bigint, season_year int, team_name string, games_played int, fg3a int, team_3pa_per_game average,
+    fg3m int, team_3p_percentage share, three_point_points int, total_points int,
+    three_point_contribution share, load_timestamp timestamp_ntz
 """)
+
+LOAD_AUDIT = _schema("run_at timestamp_ntz, object_name string, mode string, status string, n_rows bigint, remarks string")
