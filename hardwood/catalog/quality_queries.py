@@ -26,7 +26,7 @@ RULES = {
         boolean=("l_linestatus",), non_negative=("l_quantity",), between=(("l_discount", 0.0, 0.05),),
     ),
     "documents": QualityRules(
-        required=("doc_id", "text"), unique=("text",), numeric_and_present=("source",),
+        required=("doc_id", "text"), unique=("source", "n_chars"), numeric_and_present=("source",),
         between=(("n_chars", 100.0, 10000.0),),
     ),
     "labels": QualityRules(
@@ -63,6 +63,7 @@ def _duplicates_sql(table: str, columns: str, distinct: str, source: str | None
 
 _ORDERS = "(SELECT * REPLACE (CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey) FROM orders)"
 _LINE_PAIRS = "(SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))"
+_DOCUMENT_PAIRS = "(SELECT COUNT(*) FROM (SELECT DISTINCT source, n_chars FROM documents))"
 _LABEL_PAIRS = "(SELECT COUNT(*) FROM (SELECT DISTINCT quality, toxic FROM labels))"
 
 QUALITY_REPORT_SQL = " UNION ALL ".join((
@@ -83,7 +84,7 @@ QUALITY_REPORT_SQL = " UNION ALL ".join((
     _check_sql("documents", "missing", "text", "text IS NULL"),
     _check_sql("documents", "format", "source", "TRY_CAST(source AS DOUBLE) IS NULL"),
     _check_sql("documents", "business_rule", "n_chars", "n_chars NOT BETWEEN 100 AND 10000"),
-    _duplicates_sql("documents", "text", "COUNT(DISTINCT text)"),
+    _duplicates_sql("documents", "source, n_chars", _DOCUMENT_PAIRS),
     _check_sql("labels", "missing", "doc_id", "doc_id IS NULL"),
     _check_sql("labels", "missing", "quality", "quality IS NULL"),
     _check_sql("labels", "missing", "toxic", "toxic IS NULL"),

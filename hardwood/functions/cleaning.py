@@ -28,7 +28,8 @@ def to_number(column: Column) -> Column:
 
 def whole_number(column: Column) -> Column:
     """A count that may be written ``105`` or ``105.0``; NULL when it is not a number or does not fit."""
-    return F.round(to_number(column.cast("string"))).try_cast("int")
+    text = column.cast("string")
+    return F.coalesce(text.try_cast("int"), F.round(to_number(text)).try_cast("int"))
 
 
 def without_sentinel(column: Column, sentinel: str = "0") -> Column:

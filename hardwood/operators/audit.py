@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,9 @@ def season_backlog(source: DataFrame, stage: DataFrame, season: str) -> DataFram
     return waiting.join(stage.select(season).distinct(), season, "left_anti")
 
 
-def null_zero_counts(delta: DataFrame, null_columns: list[str], stage: DataFrame, zero_columns: list[str]) -> DataFrame:
+def null_zero_counts(
+    delta: DataFrame, null_columns: Sequence[str], stage: DataFrame, zero_columns: Sequence[str]
+) -> DataFrame:
     """Rows with a NULL id in the delta and rows with the ``0`` sentinel in the stage, in two rows."""
     any_null = F.lit(False)
     for name in null_columns:

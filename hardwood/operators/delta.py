@@ -38,14 +38,15 @@ def known_rows(
     nullable: Collection[str] = (),
     small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
-    """The ``carry`` columns of those target rows whose key occurs in ``candidates``.
+    """The ``carry`` columns of those target rows whose key occurs in staged ``candidates``.
 
     A long target meets a short delta on most days. When the delta's keys are
-    few, they are broadcast and the target is read without a shuffle; otherwise
-    the target is returned whole and the caller's join shuffles both sides.
+    few, which the file footers tell, they are broadcast and the target is read
+    without a shuffle; otherwise the target is returned whole and the caller's
+    join shuffles both sides.
     """
     slim = target.select(*keys, *carry)
-    if candidates.select(*keys).limit(small_rows + 1).count() > small_rows:
+    if candidates.count() > small_rows:
         return slim
     wanted = F.broadcast(candidates.select(*keys)).alias("c")
     return slim.alias("t").join(wanted, key_match(keys, nullable, "t", "c"), "left_semi")

@@ -40,19 +40,24 @@ def player_shot_efficiency(
         F.sum(F.when(F.col("shot_made"), 1).otherwise(0)).alias("shots_made"),
         F.sum(points).alias("points"),
     )
-    versions = _active(teams) if team_versions == "active" else teams
-    team_names = versions.groupBy(
+    team_names = (_active(teams) if team_versions == "active" else teams).select(
         numeric_id(F.col("business_key")).alias("team_id"), F.col("full_name").alias("team_name")
-    ).agg(F.count(F.lit(1)).alias("_versions"))
+    )
+    if team_versions == "all":
+        versions = team_names.groupBy("team_id", "team_name").agg(F.count(F.lit(1)).alias("_versions"))
+        counted = ("shot_attempts", "shots_made", "points")
+        folded = folded.join(versions, "team_id").withColumns(
+            {name: F.col(name) * F.col("_versions") for name in counted}
+        )
+    else:
+        folded = folded.join(team_names, "team_id")
     player_names = _active(players).select(
         numeric_id(F.col("business_key")).alias("player_id"), "full_name", "position"
     )
     joined = (
         folded.join(zones.select("zone_id", "basic_zone", "zone_name", "zone_range"), "zone_id")
         .join(times.select("time_id", "season_year"), "time_id")
-        .join(team_names, "team_id")
         .join(player_names, "player_id")
-        .withColumns({name: F.col(name) * F.col("_versions") for name in ("shot_attempts", "shots_made", "points")})
     )
     one_team = first_per_key(
         joined,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hardwood import tables as t
-from hardwood.operators.audit import load_audit, season_backlog
+from hardwood.operators.audit import load_audit, null_zero_counts, season_backlog
 from hardwood.operators.constraints import align
 from hardwood.operators.delta import INSERTED, UNCHANGED, known_rows, newer_than_target
 from hardwood.operators.latest import STAMP
@@ -156,7 +156,22 @@ def load_shots(wh: Warehouse, csv_path: str, year: int, run_at: dt.datetime) ->
 # -------------------------------------------------------------- warehouse
 
 
-def load_upsert(wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame) -> LoadResult:
+@dataclass(frozen=True)
+class IdWatch:
+    """Id columns whose NULLs are counted in a delta and whose ``0`` sentinels are counted in its stage rows."""
+
+    null_columns: tuple[str, ...]
+    stage_rows: DataFrame
+    zero_columns: tuple[str, ...]
+
+    def remarks(self, delta: DataFrame) -> str:
+        counted = null_zero_counts(delta, self.null_columns, self.stage_rows, self.zero_columns)
+        return ", ".join(f"{row.check}: {row.n_rows}" for row in counted.collect())
+
+
+def load_upsert(
+    wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame, watch: IdWatch | None = None
+) -> LoadResult:
     """Merge one newest row per key into a type-1 dimension or a fact.
 
     Keys already stored keep their surrogate id; new keys get the next ones. The
@@ -187,10 +202,12 @@ def load_upsert(wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame) -
         else:
             replace_whole(upsert(target, changes, table.key, table.nullable_key), path, table.key, table.name)
     counts[UNCHANGED] = staged.count() - sum(counts.values()) if staged else 0
-    return LoadResult(table.name, "UPSERT", counts)
+    return LoadResult(table.name, "UPSERT", counts, watch.remarks(changes) if watch else "")
 
 
-def load_history(wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame, run_at: dt.datetime) -> LoadResult:
+def load_history(
+    wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame, run_at: dt.datetime, watch: IdWatch | None = None
+) -> LoadResult:
     """Merge one newest row per key into a type-2 dimension.
 
     One write replaces the partition of running versions and adds one of those
@@ -211,7 +228,7 @@ def load_history(wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame,
         running = step.untouched.unionByName(opened).withColumn("closed_by", F.lit(RUNNING))
         closed = step.closed.withColumn("closed_by", F.lit(run_at.strftime("%Y%m%dT%H%M%S%f")))
         overwrite_partitions(running.unionByName(closed), path, ["is_active", "closed_by"])
-    return LoadResult(table.name, "SCD2", counts)
+    return LoadResult(table.name, "SCD2", counts, watch.remarks(classified) if watch else "")
 
 
 def store_rejects(wh: Warehouse, name: str, classified: DataFrame) -> int:
@@ -225,22 +242,37 @@ def load_dds(wh: Warehouse, run_at: dt.datetime, season: int | None = None) -> l
     """All dimensions, then both facts. With ``season`` the season tables are read from that partition alone."""
     games = wh.stage_table(t.GAME, season)
     shots = wh.stage_shots(season)
+    players = wh.stage_table(t.COMMON_PLAYER_INFO)
+    # Id columns watched per table.
+    sides = ("team_id_home", "team_id_away")
+    watch = {
+        t.DIM_PLAYER: IdWatch(("team_id",), players, ("team_id",)),
+        t.DIM_GAME: IdWatch(("home_team_id", "away_team_id"), games, sides),
+        t.FACT_SHOTS: IdWatch(("team_id",), shots, ("team_id",)),
+        t.FACT_GAMES: IdWatch(("team_id",), games, sides),
+    }
     results = [
         load_upsert(wh, t.DIM_TIME, dimensions.dim_time(shots, games)),
         load_upsert(wh, t.DIM_ZONE, dimensions.dim_zone(shots)),
         load_history(
             wh, t.DIM_TEAM, dimensions.dim_team(wh.stage_table(t.TEAM), wh.stage_table(t.TEAM_DETAILS)), run_at
         ),
-        load_history(wh, t.DIM_PLAYER, dimensions.dim_player(wh.stage_table(t.COMMON_PLAYER_INFO)), run_at),
-        _with_rejects(wh, load_upsert(wh, t.DIM_GAME, dimensions.dim_game(games)), dimensions.classify_games(games)),
+        load_history(wh, t.DIM_PLAYER, dimensions.dim_player(players), run_at, watch[t.DIM_PLAYER]),
+        _with_rejects(
+            wh, load_upsert(wh, t.DIM_GAME, dimensions.dim_game(games), watch[t.DIM_GAME]),
+            dimensions.classify_games(games),
+        ),
     ]
     times, zones = wh.table(t.DIM_TIME), wh.table(t.DIM_ZONE)
     results.append(_with_rejects(
-        wh, load_upsert(wh, t.FACT_SHOTS, facts.fact_shots(shots, zones, times)),
+        wh, load_upsert(wh, t.FACT_SHOTS, facts.fact_shots(shots, zones, times), watch[t.FACT_SHOTS]),
         facts.classify_shots(shots, zones, times),
     ))
     results.append(_with_rejects(
-        wh, load_upsert(wh, t.FACT_GAMES, facts.fact_games(games, wh.stage_table(t.OTHER_STATS), times)),
+        wh,
+        load_upsert(
+            wh, t.FACT_GAMES, facts.fact_games(games, wh.stage_table(t.OTHER_STATS), times), watch[t.FACT_GAMES]
+        ),
         facts.classify_game_sides(games, times),
     ))
     return results
