@@ -41,6 +41,14 @@ def align(df: DataFrame, schema: T.StructType, defaults: Mapping[str, Any] = COL
     return df.select(*columns)
 
 
+def fill_defaults(df: DataFrame, names: Sequence[str], defaults: Mapping[str, Any] = COLUMN_DEFAULTS) -> DataFrame:
+    """Defaults in place of NULL, as rows written before a column existed would read."""
+    return df.withColumns({
+        name: F.coalesce(F.col(name), F.lit(defaults[name]).cast(df.schema[name].dataType))
+        for name in names if name in df.columns
+    })
+
+
 def missing_required(columns: Sequence[str]) -> Column:
     """``null_<column>`` for the first required column that is NULL, else NULL."""
     return F.coalesce(*(F.when(F.col(name).isNull(), F.lit(f"null_{name}")) for name in columns))

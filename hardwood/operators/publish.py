@@ -30,10 +30,13 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def replace_whole(df: DataFrame, path: str, key: Sequence[str], name: str) -> None:
-    """Replace a small unpartitioned table that ``df`` itself may have read."""
-    staged = materialize(df, name)
-    check_unique(staged, key, name)
-    staged.write.mode("overwrite").parquet(path)
+    """Replace a small table, as one constant partition, that ``df`` itself may have read.
+
+    Unlike a plain overwrite this keeps the old rows, and with them the ids that
+    facts refer to, until the new ones are complete.
+    """
+    check_unique(df, key, name)
+    overwrite_partitions(df.withColumn("slice", F.lit("all")), path, ["slice"])
 
 
 def refresh_unless_empty(df: DataFrame, path: str, key: Sequence[str], name: str) -> int:

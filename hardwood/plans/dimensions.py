@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.functions.cleaning import numeric_id, season_label, season_year, without_sentinel
+from hardwood.functions.cleaning import numeric_id, season_label, season_year, start_year, without_sentinel
 from hardwood.operators.constraints import missing_required
 from hardwood.operators.latest import STAMP, latest, latest_of_few
 
@@ -17,17 +17,17 @@ def first_reason(*reasons: tuple[Column, str]) -> Column:
 
 def dim_time(shots: DataFrame, games: DataFrame) -> DataFrame:
     """Seasons seen in shots or games, with the newest stamp of either."""
-    years = shots.select(F.col("season_1").try_cast("int").alias("season_year"), STAMP).unionByName(
+    years = shots.select(start_year(F.col("season_1")).alias("season_year"), STAMP).unionByName(
         games.select(season_year(F.col("season_id")).alias("season_year"), STAMP)
     )
-    newest = latest_of_few(years.where(F.col("season_year").isNotNull()), ["season_year"], [])
+    newest = latest_of_few(years.where(F.col("season_year").isNotNull() & F.col(STAMP).isNotNull()), ["season_year"], [])
     return newest.select("season_year", season_label(F.col("season_year")).alias("season_name"), STAMP)
 
 
 def dim_zone(shots: DataFrame) -> DataFrame:
     """Court zones with their newest abbreviation."""
     keys = ["basic_zone", "zone_name", "zone_range"]
-    return latest_of_few(shots.where(F.col("basic_zone").isNotNull()), keys, ["zone_abb"]).select(
+    return latest_of_few(shots.where(F.col("basic_zone").isNotNull() & F.col(STAMP).isNotNull()), keys, ["zone_abb"]).select(
         *keys, "zone_abb", STAMP
     )
 
@@ -36,7 +36,7 @@ def dim_team(teams: DataFrame, details: DataFrame) -> DataFrame:
     """Teams with the arena from their newest detail row."""
     arenas = latest(details.select("team_id", "arena", STAMP).where(F.col("team_id").isNotNull()), ["team_id"])
     named = latest(
-        teams.where(F.col("id").isNotNull()).select("id", "full_name", "abbreviation", "city", STAMP), ["id"]
+        teams.where(F.col("id").isNotNull() & F.col(STAMP).isNotNull()).select("id", "full_name", "abbreviation", "city", STAMP), ["id"]
     )
     return named.join(arenas.select(F.col("team_id").alias("id"), "arena"), "id", "left").select(
         F.col("id").cast("string").alias("business_key"), "full_name", "abbreviation", "city", "arena",
@@ -47,7 +47,7 @@ def dim_team(teams: DataFrame, details: DataFrame) -> DataFrame:
 def dim_player(players: DataFrame) -> DataFrame:
     """Players with full name; team ``0`` means none."""
     columns = ["person_id", "first_name", "last_name", "position", "team_id", STAMP]
-    return latest(players.where(F.col("person_id").isNotNull()).select(*columns), ["person_id"]).select(
+    return latest(players.where(F.col("person_id").isNotNull() & F.col(STAMP).isNotNull()).select(*columns), ["person_id"]).select(
         F.col("person_id").cast("string").alias("business_key"),
         F.concat("first_name", F.lit(" "), "last_name").alias("full_name"),
         "first_name", "last_name", "position",
@@ -74,7 +74,7 @@ def classify_games(games: DataFrame) -> DataFrame:
             (F.col("home_team_id").isNull(), "bad_home_team_id"),
             (F.col("away_team_id").isNull(), "bad_away_team_id"),
         ),
-        missing_required(["game_date", "season_id", "season_year"]),
+        missing_required(["game_date", "season_id", "season_year", STAMP]),
     ))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.functions.cleaning import numeric_id, season_year, whole_number, without_sentinel
+from hardwood.functions.cleaning import numeric_id, season_year, start_year, whole_number, without_sentinel
 from hardwood.operators.constraints import missing_required
 from hardwood.operators.latest import STAMP, latest
 from hardwood.plans.dimensions import first_reason
@@ -27,7 +27,7 @@ def classify_shots(shots: DataFrame, zones: DataFrame, times: DataFrame) -> Data
     whether they are broadcast.
     """
     parsed = shots.withColumns({
-        "season_year": F.col("season_1").try_cast("int"),
+        "season_year": start_year(F.col("season_1")),
         "raw_team": F.col("team_id").cast("string"),
         "game_id": numeric_id(F.col("game_id").cast("string")),
         "player_id": numeric_id(F.col("player_id").cast("string")),
@@ -53,7 +53,7 @@ def classify_shots(shots: DataFrame, zones: DataFrame, times: DataFrame) -> Data
             (F.col("zone_id").isNull(), "no_zone"),
             (F.col("time_id").isNull(), "no_season"),
         ),
-        missing_required(["shot_made", "shot_type"]),
+        missing_required(["shot_made", "shot_type", STAMP]),
     )
     return typed.withColumn("reason", reason).drop("_no_team")
 
@@ -91,10 +91,13 @@ def game_sides(games: DataFrame) -> DataFrame:
 def classify_game_sides(games: DataFrame, times: DataFrame) -> DataFrame:
     """Game sides with their season looked up, and ``reason`` where a row cannot become a fact."""
     joined = game_sides(games).join(times.select("season_year", "time_id"), "season_year", "left")
-    return joined.withColumn("reason", first_reason(
-        (F.col("game_id").isNull(), "bad_game_id"),
-        (F.col("team_id").isNull(), "bad_team_id"),
-        (F.col("time_id").isNull(), "no_season"),
+    return joined.withColumn("reason", F.coalesce(
+        first_reason(
+            (F.col("game_id").isNull(), "bad_game_id"),
+            (F.col("team_id").isNull(), "bad_team_id"),
+            (F.col("time_id").isNull(), "no_season"),
+        ),
+        missing_required([STAMP]),
     ))
 
 

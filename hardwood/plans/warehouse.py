@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hardwood import tables as t
+from hardwood.functions.cleaning import start_year
 from hardwood.operators.audit import load_audit, null_zero_counts, season_backlog
-from hardwood.operators.constraints import align
+from hardwood.operators.constraints import align, fill_defaults
 from hardwood.operators.delta import INSERTED, UNCHANGED, known_rows, newer_than_target
 from hardwood.operators.latest import STAMP
 from hardwood.operators.publish import overwrite_partitions, publish_changes, refresh_unless_empty, replace_whole
@@ -72,8 +73,17 @@ class Warehouse:
         partitioned = T.StructType([*schema.fields, T.StructField("season", T.IntegerType())])
         return self.read("stage", name, partitioned).where(F.col("season") == season).drop("season")
 
+    def stored_seasons(self, table: t.StageTable) -> DataFrame:
+        """Season of every stage row; reads the partition names only, no column."""
+        return self.read("stage", table.name, T.StructType([T.StructField("season", T.IntegerType())]))
+
     def table(self, table: t.WarehouseTable) -> DataFrame:
-        return self.read("dds", table.name, table.schema)
+        """A dimension or fact; files older than a column read with its default."""
+        return fill_defaults(self.read("dds", table.name, table.schema), (STAMP, "valid_from"))
+
+
+def _run_name(run_at: dt.datetime) -> str:
+    return run_at.strftime("%Y%m%dT%H%M%S%f")
 
 
 def _counts(classified: DataFrame) -> dict[str, int]:
@@ -226,14 +236,14 @@ def load_history(
         last = stored.agg(F.max(table.surrogate)).first()[0] or 0
         opened = assign_ids(step.opened, table.key, table.surrogate, last)
         running = step.untouched.unionByName(opened).withColumn("closed_by", F.lit(RUNNING))
-        closed = step.closed.withColumn("closed_by", F.lit(run_at.strftime("%Y%m%dT%H%M%S%f")))
+        closed = step.closed.withColumn("closed_by", F.lit(_run_name(run_at)))
         overwrite_partitions(running.unionByName(closed), path, ["is_active", "closed_by"])
     return LoadResult(table.name, "SCD2", counts, watch.remarks(classified) if watch else "")
 
 
-def store_rejects(wh: Warehouse, name: str, classified: DataFrame) -> int:
-    """Keep the rows that could not be loaded, with the reason; returns how many."""
-    path = wh.path("rejects", name)
+def store_rejects(wh: Warehouse, name: str, classified: DataFrame, run_at: dt.datetime) -> int:
+    """Keep the rows this run could not load, with the reason; returns how many."""
+    path = f'{wh.path("rejects", name)}/run={_run_name(run_at)}'
     classified.where(F.col("reason").isNotNull()).write.mode("overwrite").parquet(path)
     return wh.spark.read.schema(classified.schema).parquet(path).count()
 
@@ -260,26 +270,26 @@ def load_dds(wh: Warehouse, run_at: dt.datetime, season: int | None = None) -> l
         load_history(wh, t.DIM_PLAYER, dimensions.dim_player(players), run_at, watch[t.DIM_PLAYER]),
         _with_rejects(
             wh, load_upsert(wh, t.DIM_GAME, dimensions.dim_game(games), watch[t.DIM_GAME]),
-            dimensions.classify_games(games),
+            dimensions.classify_games(games), run_at,
         ),
     ]
     times, zones = wh.table(t.DIM_TIME), wh.table(t.DIM_ZONE)
     results.append(_with_rejects(
         wh, load_upsert(wh, t.FACT_SHOTS, facts.fact_shots(shots, zones, times), watch[t.FACT_SHOTS]),
-        facts.classify_shots(shots, zones, times),
+        facts.classify_shots(shots, zones, times), run_at,
     ))
     results.append(_with_rejects(
         wh,
         load_upsert(
             wh, t.FACT_GAMES, facts.fact_games(games, wh.stage_table(t.OTHER_STATS), times), watch[t.FACT_GAMES]
         ),
-        facts.classify_game_sides(games, times),
+        facts.classify_game_sides(games, times), run_at,
     ))
     return results
 
 
-def _with_rejects(wh: Warehouse, result: LoadResult, classified: DataFrame) -> LoadResult:
-    rejected = store_rejects(wh, result.table, classified)
+def _with_rejects(wh: Warehouse, result: LoadResult, classified: DataFrame, run_at: dt.datetime) -> LoadResult:
+    rejected = store_rejects(wh, result.table, classified, run_at)
     return LoadResult(result.table, result.mode, {**result.counts, "rejected": rejected}, result.remarks)
 
 
@@ -307,13 +317,24 @@ def load_marts(wh: Warehouse, run_at: dt.datetime) -> list[LoadResult]:
     return results
 
 
-def waiting_seasons(wh: Warehouse, games_extract: DataFrame) -> DataFrame:
-    """Seasons of the game extract that stage holds nothing of."""
-    def seasons(df: DataFrame) -> DataFrame:
-        return df.select(F.substring("season_id", 2, 4).alias("season"))
+def source_seasons(table: t.StageTable, extract: DataFrame) -> DataFrame:
+    """Season of every row of a season table's extract, as the loads would file it."""
+    if table is t.GAME:
+        regular = extract.where(F.col("season_id").startswith("2"))
+        return regular.select(start_year(F.substring("season_id", 2, 4)).alias("season"))
+    if table is t.LINE_SCORE_GAME:
+        return extract.select(F.year(F.col("game_date_est").try_cast("date")).alias("season"))
+    return extract.select(start_year(F.col("season_1")).alias("season"))
+
+
+def waiting_seasons(wh: Warehouse, table: t.StageTable, extract: DataFrame) -> DataFrame:
+    """Seasons of an extract that stage holds nothing of, with their row counts."""
+    return season_backlog(source_seasons(table, extract), wh.stored_seasons(table), "season")
+
 
-    regular = games_extract.where(F.col("season_id").startswith("2"))
-    return season_backlog(seasons(regular), seasons(wh.stage_table(t.GAME)), "season")
+def next_season(wh: Warehouse, games_extract: DataFrame) -> int | None:
+    """The earliest waiting season; None when everything is loaded, and then there is nothing to run."""
+    return waiting_seasons(wh, t.GAME, games_extract).agg(F.min("season")).first()[0]
 
 
 def run_season(
