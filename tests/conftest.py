@@ -3,7 +3,7 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.path.dirname(os.path.abspath(__file__))]
 
 from hardwood.session import local_session  # noqa: E402
 
@@ -11,6 +11,8 @@ from hardwood.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(cores="8", partitions=4)
+    # On a handful of rows compiling a plan takes longer than running it.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
     yield session
     session.stop()
 

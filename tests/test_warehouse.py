@@ -93,7 +93,7 @@ def snapshot(wh):
     return {table.name: sorted(map(str, wh.table(table).collect())) for table in tables}
 
 
-def test_one_season_and_a_rerun(spark, tmp_path, sources):
+def test_a_season_its_rerun_and_a_reload_with_changes(spark, tmp_path, sources):
     root = str(tmp_path / "wh")
     wh = w.Warehouse(spark, root)
     done = counts(w.run_season(spark, root, 2010, RUN_1, **sources()))
@@ -126,11 +126,7 @@ def test_one_season_and_a_rerun(spark, tmp_path, sources):
     assert all(not set(c) & {"inserted", "updated"} for c in again.values())
     assert snapshot(wh) == before
 
-
-def test_reload_with_changes_keeps_ids_and_history(spark, tmp_path, sources):
-    root = str(tmp_path / "wh")
-    wh = w.Warehouse(spark, root)
-    w.run_season(spark, root, 2010, RUN_1, **sources())
+    # A reload of the season with changes keeps ids and adds history.
     ids = {(r.game_id, r.secs_left): r.shot_id for r in wh.table(t.FACT_SHOTS).collect()}
     changed = sources(
         teams=[{"id": "10", "full_name": "Alphas", "abbreviation": "AAA", "city": "Moved"},
