@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.functions.hashing import row_hash
+from hardwood.operators.delta import key_match
 from hardwood.operators.latest import STAMP, first_per_key
 
 NEW = "new"
@@ -27,8 +28,9 @@ def snapshot_status(
     """Every key of either side once, with ``status`` and the source's ``columns``.
 
     The source row is compared with the latest stage version only. Where a key
-    is repeated, both sides choose by the same rule, so a second run finds
-    nothing to do. Deleted keys have NULL in all non-key columns.
+    is repeated, both sides choose by the same rule, and a NULL key matches
+    itself, so a second run finds nothing to do. Deleted keys have NULL in all
+    non-key columns.
     """
     def hashed(df: DataFrame) -> DataFrame:
         return df.withColumn("_hash", row_hash(df, columns, numeric))
@@ -43,7 +45,12 @@ def snapshot_status(
         .when(F.col("_hash") == F.col("_stored"), SAME)
         .otherwise(CHANGED)
     )
-    return incoming.join(stored, list(keys), "full").select(*columns, status.alias("status"))
+    matched = incoming.alias("i").join(stored.alias("s"), key_match(keys, keys, "i", "s"), "full")
+    return matched.select(
+        *(F.coalesce(f"i.{name}", f"s.{name}").alias(name) if name in keys else F.col(f"i.{name}")
+          for name in columns),
+        status.alias("status"),
+    )
 
 
 def rows_to_append(classified: DataFrame) -> DataFrame:

@@ -353,14 +353,14 @@ def run_season(
         load_shots(wh, shots_csv, year, run_at),
     ]
     results += load_dds(wh, run_at, year) + load_marts(wh, run_at)
-    log_results(wh, results, run_at)
+    log_results(wh, results, run_at, year)
     return results
 
 
-def log_results(wh: Warehouse, results: list[LoadResult], run_at: dt.datetime) -> None:
+def log_results(wh: Warehouse, results: list[LoadResult], run_at: dt.datetime, season: int | None = None) -> None:
     """Append one row per load and status to the audit table."""
     rows = [
-        (run_at, r.table, r.mode, status, n_rows, r.remarks)
+        (run_at, season, r.table, r.mode, status, n_rows, r.remarks)
         for r in results for status, n_rows in (r.counts.items() or [("none", 0)])
     ]
     wh.spark.createDataFrame(rows, t.LOAD_AUDIT).coalesce(1).write.mode("append").parquet(

@@ -33,6 +33,8 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Recording the Python call site of every column call triples the time to build a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,11 +11,13 @@ from hardwood.tables import StageTable
 
 
 def read_extract(spark: SparkSession, table: StageTable, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """All rows of a file extract, with exactly the declared columns as text."""
-    reader = spark.read.format(fmt).options(**options)
-    if fmt in ("csv", "json"):
+    """All rows of a file extract, with exactly the declared columns as text. Columns are found by name."""
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", True)
+    if fmt == "json":
         reader = reader.schema(table.schema)
-    return as_declared(reader.load(path), table)
+    return as_declared(reader.options(**options).load(path), table)
 
 
 def read_database(

@@ -374,4 +374,6 @@ THREE_POINT_TRENDS = _schema("""
     three_point_contribution share, load_timestamp timestamp_ntz
 """)
 
-LOAD_AUDIT = _schema("run_at timestamp_ntz, object_name string, mode string, status string, n_rows bigint, remarks string")
+LOAD_AUDIT = _schema("""
+    run_at timestamp_ntz, season int, object_name string, mode string, status string, n_rows bigint, remarks string
+""")

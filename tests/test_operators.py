@@ -138,12 +138,13 @@ def test_snapshot_compares_with_the_latest_version_only(frame):
     schema = "k string, v string"
     stage = frame([("a", "1", DAY[0]), ("a", "2", DAY[1]), ("b", "1", DAY[0]), ("gone", "1", DAY[0])],
                   f"{schema}, load_timestamp timestamp_ntz")
-    source = frame([("a", "2"), ("b", "9"), ("c", "1"), ("c", "1")], schema)
+    source = frame([("a", "2"), ("b", "9"), ("c", "1"), ("c", "1"), (None, "1")], schema)
     status = materialize(snapshot_status(source, stage, ["k"], ["k", "v"]), "s")
     assert rows(status, "k", "v", "status") == [
-        ("a", "2", "unchanged"), ("b", "9", "changed"), ("c", "1", "new"), ("gone", None, "deleted")]
+        ("a", "2", "unchanged"), ("b", "9", "changed"), ("c", "1", "new"), ("gone", None, "deleted"),
+        (None, "1", "new")]
     assert rows(load_audit(status), "status", "n_rows") == [
-        ("changed", 1), ("deleted", 1), ("new", 1), ("unchanged", 1)]
+        ("changed", 1), ("deleted", 1), ("new", 2), ("unchanged", 1)]
     assert rows(deleted_keys(status, ["k"]), "description") == [("k:gone",)]
     assert describe_deleted(status, ["k"]) == "Deleted keys: 1 [k:gone]"
     appended = rows_to_append(status).withColumn("load_timestamp", F.lit(DAY[2]).cast("timestamp_ntz"))
