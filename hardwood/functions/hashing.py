@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hardwood.functions.cleaning import NUMBER
+from hardwood.functions.cleaning import may_be_number
 
 SEPARATOR = "\x1f"
 
@@ -28,7 +28,7 @@ def _normal_form(df: DataFrame, name: str, numeric: bool) -> Column:
         text = F.trim(value)
         if not numeric:
             return text
-        return F.when(text.rlike(NUMBER), _plain_number(text.try_cast("decimal(38,10)"))).otherwise(text)
+        return F.coalesce(F.when(may_be_number(text), _plain_number(text.try_cast("decimal(38,10)"))), text)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         # Through text, so that a double such as 0.1 keeps its printed digits.
         return F.coalesce(_plain_number(value.cast("string").try_cast("decimal(38,10)")), value.cast("string"))

@@ -7,7 +7,6 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hardwood.session import materialize
 
@@ -37,15 +36,11 @@ def assign_ids(
         .withColumn("_position", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)))
     )
     staged = materialize(ordered, f"ids-{id_column}")
-    sizes = sorted((r[0], r[1]) for r in staged.groupBy("_part").agg(F.max("_position") + 1).collect())
-    starts = accumulate((size for _, size in sizes), initial=after)
-    offsets = rows.sparkSession.createDataFrame(
-        [(part, start) for (part, _), start in zip(sizes, starts)],
-        T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_start", T.LongType())]),
-    )
-    # One row per written partition, so the broadcast side is bounded by the partition count.
-    fresh = F.col("_start") + F.col("_position") + 1
+    sizes = dict(staged.groupBy("_part").agg(F.max("_position") + 1).collect())
+    starts = accumulate((sizes.get(part, 0) for part in range(max(sizes, default=0))), initial=after)
+    # One number per written partition, as a constant: looking it up needs no join, and
+    # the planner goes on seeing the true size of the staged rows.
+    start = F.split(F.lit(",".join(map(str, starts))), ",")[F.col("_part")].cast("bigint")
+    fresh = start + F.col("_position") + 1
     value = fresh if known is None else F.coalesce(F.col(known), fresh)
-    return staged.join(F.broadcast(offsets), "_part").select(
-        value.alias(id_column), *(name for name in rows.columns if name != known)
-    )
+    return staged.select(value.alias(id_column), *(name for name in rows.columns if name != known))
