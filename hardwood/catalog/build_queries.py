@@ -98,7 +98,7 @@ CLEAN_IDS_SQL = r"""
         FROM customer
     )
     SELECT c_custkey, CASE WHEN regexp_full_match(raw, '[0-9]+') THEN TRY_CAST(raw AS BIGINT) END AS id,
-           TRY_CAST(trim(raw, chr(10) || ' ') AS DOUBLE) AS number, CAST(nullif(c_nationkey, 0) AS BIGINT) AS team_id,
+           CASE WHEN regexp_full_match(trim(raw), '[0-9]+') THEN CAST(trim(raw) AS DOUBLE) END AS number, CAST(nullif(c_nationkey, 0) AS BIGINT) AS team_id,
            season_year, concat(season_year, '-', season_year + 1) AS label
     FROM raws
 """

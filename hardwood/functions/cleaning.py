@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 # Accepted spellings. ``\z`` and not ``$``, which in Java also
 # matches before a trailing line break.
 DIGITS = r"^[0-9]+\z"
-BLANKS = " \t\r\n"
 
 
 def is_digits(column: Column) -> Column:
@@ -36,8 +35,8 @@ def may_be_number(text: Column) -> Column:
 
 
 def to_number(column: Column) -> Column:
-    """Text as double; NULL when it is not a plain number."""
-    text = F.trim(column, F.lit(BLANKS))
+    """Text as double; NULL when it is not a plain number. Spaces around it are allowed."""
+    text = F.trim(column)
     return F.when(may_be_number(text), text.try_cast("double"))
 
 

@@ -19,7 +19,9 @@ def read_shots(spark: SparkSession, path: str) -> DataFrame:
     """One season's file with lower-case names and declared types.
 
     Columns are matched by header name. A line whose numbers do not parse keeps
-    its other fields and carries the raw line in ``_corrupt_record``.
+    its other fields and carries the raw line in ``_corrupt_record``. Spark marks a
+    line for faults in the columns a query reads, so a check has to read all the
+    typed ones together, as the quality report does.
     """
     header = spark.read.option("header", True).csv(path)
     names = [name.strip().lower() for name in header.columns]

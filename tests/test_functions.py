@@ -26,7 +26,7 @@ def test_ids_that_are_not_digits_are_null_and_raise_nothing(frame):
 
 
 def test_numbers(frame):
-    raw = ["1949.0", " 7 ", "1e3", ".5", "1d", "NaN", "0x1p3", "", None, "12a"]
+    raw = ["1949.0", " 7 ", "1e3", ".5", "1d", "NaN", "0x1p3", "", None, "12\n"]
     assert column(frame, raw, "string", c.to_number) == [1949.0, 7.0, 1000.0, 0.5] + [None] * 6
     assert column(frame, ["105.0", "7", "x", "99999999999"], "string", c.whole_number) == [105, 7, None, None]
 
