@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from hardwood import catalog
 from compare import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-CHECKS = entry.oracle_sql()
+QUERIES = catalog.queries()
+CHECKS = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
