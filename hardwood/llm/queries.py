@@ -5,9 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hardwood.llm import exact_dedup, pieces, simhash
-from hardwood.llm.common import table
+from hardwood.llm import exact_dedup, language, mixing, pieces, quality, simhash, toxicity
+from hardwood.llm.common import fold, table
 
 
 def tokenizer_file(name: str = "piece_bpe_32k.model") -> str:
@@ -19,10 +20,41 @@ def tokenizer_file(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def learnable(labels: DataFrame, column: str, folds: int, held: int) -> DataFrame:
+    """(doc_id, label) of the rows that may be learned from: those outside the held-out fold."""
+    return labels.filter(F.pmod(fold("doc_id"), F.lit(folds)) != held).select("doc_id", F.col(column).alias("label")).dropna()
+
+
+def _scored(scores: DataFrame, folds: int, held: int) -> DataFrame:
+    return scores.select(
+        "doc_id", (F.pmod(fold("doc_id"), F.lit(folds)) == held).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _scored(toxicity.score(docs, learnable(labels, "toxic", 5, 0)), 5, 0)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, learnable(docs, "lang", 4, 2))
+    return language.predict(docs, model).select(
+        "doc_id", (F.pmod(fold("doc_id"), F.lit(4)) == 2).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The domains are the languages: the only labels of these tables that say what a text is like and cover all its parts."""
+    docs = table(spark, sf_dir, "documents")
+    mixed, _ = mixing.mix(docs, docs.select("doc_id", F.col("lang").alias("label")).dropna())
+    return mixed.select("doc_id", "tokens", "posterior", "rate", "copies")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -31,9 +63,14 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_documents(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _scored(quality.score(docs, learnable(labels, "quality", 3, 1)), 3, 1)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_exact_dedup, op8_simhash, op9_sentencepiece)
+    for f in (op1_toxicity, op2_exact_dedup, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece, op10_quality_classifier)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
