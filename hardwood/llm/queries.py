@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardwood.llm import exact_dedup, language, mixing, pieces, quality, simhash, toxicity
+from hardwood.llm import exact_dedup, language, mixing, pieces, quality, quality_rules, simhash, toxicity
 from hardwood.llm.common import fold, table
 
 
@@ -40,6 +40,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs, learnable(docs, "lang", 4, 2))
@@ -70,11 +74,73 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_exact_dedup, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece, op10_quality_classifier)
+    for f in (op1_toxicity, op2_exact_dedup, op4_quality_rules, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece, op10_quality_classifier)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+
+def _quality_rules_sql() -> str:
+    r"""Windows and lines by unnesting; sketches as bucket counts at the three levels; fences from running counts."""
+    measures = quality_rules.MEASURES
+    levels = {"own": "lang, source", "by_lang": "lang", "corpus": "1"}
+    quartiles = []
+    for level, by in levels.items():
+        named = "lang, source" if level == "own" else "lang, NULL AS source" if level == "by_lang" else "NULL AS lang, NULL AS source"
+        quartiles.append(f"""
+            SELECT '{level}' AS level, {named}, measure, max(total) AS n_rows, min(low) FILTER (WHERE 4 * upto >= total) AS q1,
+                   min(low) FILTER (WHERE 4 * upto >= 3 * total) AS q3
+            FROM (SELECT *, sum(n) OVER (PARTITION BY {by}, measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {by}, measure) AS total
+                  FROM (SELECT {by + ', ' if by != '1' else ''} measure, bucket, sum(n) AS n, min(low) AS low FROM sketch GROUP BY ALL) AS s) AS r
+            GROUP BY ALL""")
+    least = " ".join(f"WHEN '{m}' THEN {spread}" for m, (spread, _) in measures.items())
+    both = ", ".join(f"'{m}'" for m, (_, two) in measures.items() if two)
+    return f"""
+        WITH w AS (
+            SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
+                   list_filter(string_split_regex(coalesce(text, ''), '{quality_rules.BLANK}'), lambda x: x <> '') AS ws,
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls
+            FROM documents),
+        windows AS (SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+                    FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w) AS u),
+        repeated AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM windows) AS x WHERE c > 1),
+        covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM repeated, (VALUES (0), (1), (2)) AS o(k) GROUP BY rid),
+        counts AS (
+            SELECT w.rid, doc_id, lang, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+                   (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, len(ls)::BIGINT AS n_lines,
+                   (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
+            FROM w LEFT JOIN covered AS c ON c.rid = w.rid),
+        rows_ AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 1000 * word_chars // greatest(n_words, 1) AS mean_word,
+                         1000 * n_symbols // greatest(n_words, 1) AS symbols, 1000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines,
+                         1000 * n_repeat_words // greatest(n_words, 1) AS repeats
+                  FROM counts),
+        long AS ({" UNION ALL ".join(f"SELECT rid, lang, source, base_failed, {k} AS place, '{m}' AS measure, {m} AS value FROM rows_" for k, m in enumerate(measures))}),
+        sketch AS (
+            SELECT lang, source, measure, CASE WHEN value <= 0 THEN 0 ELSE 1 + ceil(ln(value::DOUBLE) / ln({quality_rules.GROWTH})) END AS bucket,
+                   count(*) AS n, min(value) AS low
+            FROM long WHERE NOT base_failed GROUP BY ALL),
+        quartiles AS ({" UNION ALL ".join(quartiles)}),
+        fences AS (
+            SELECT level, lang, source, measure, n_rows,
+                   CASE WHEN measure IN ({both}) THEN q1 - {quality_rules.SPREADS} * greatest(q3 - q1, CASE measure {least} END) ELSE -1 END AS low,
+                   q3 + {quality_rules.SPREADS} * greatest(q3 - q1, CASE measure {least} END) AS high
+            FROM quartiles),
+        judged AS (
+            SELECT l.rid, string_agg(l.measure, ',' ORDER BY l.place) AS failed
+            FROM long AS l
+            LEFT JOIN fences AS o ON o.level = 'own' AND o.lang IS NOT DISTINCT FROM l.lang AND o.source IS NOT DISTINCT FROM l.source AND o.measure = l.measure
+            LEFT JOIN fences AS g ON g.level = 'by_lang' AND g.lang IS NOT DISTINCT FROM l.lang AND g.measure = l.measure
+            LEFT JOIN fences AS c ON c.level = 'corpus' AND c.measure = l.measure
+            WHERE NOT l.base_failed AND (
+                l.value < CASE WHEN o.n_rows >= {quality_rules.ENOUGH} THEN o.low WHEN g.n_rows >= {quality_rules.ENOUGH} THEN g.low ELSE c.low END
+                OR l.value > CASE WHEN o.n_rows >= {quality_rules.ENOUGH} THEN o.high WHEN g.n_rows >= {quality_rules.ENOUGH} THEN g.high ELSE c.high END)
+            GROUP BY l.rid)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed IS NULL AS kept,
+               CASE WHEN base_failed THEN 'base' ELSE coalesce(failed, '') END AS failed
+        FROM rows_ LEFT JOIN judged ON judged.rid = rows_.rid"""
+
+
 #: The same results in SQL, where SQL can say them.
 SQL = {
     "op2_exact_dedup": f"""
@@ -82,4 +148,5 @@ SQL = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM texts WINDOW same AS (PARTITION BY t)""",
+    "op4_quality_rules": _quality_rules_sql(),
 }
