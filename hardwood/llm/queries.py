@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardwood.llm import exact_dedup, language, mixing, pieces, quality, quality_rules, simhash, toxicity
+from hardwood.llm import exact_dedup, language, mixing, pieces, pii, quality, quality_rules, simhash, toxicity
 from hardwood.llm.common import fold, table
 
 
@@ -44,6 +44,11 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs, learnable(docs, "lang", 4, 2))
@@ -74,7 +79,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_exact_dedup, op4_quality_rules, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece, op10_quality_classifier)
+    for f in (op1_toxicity, op2_exact_dedup, op4_quality_rules, op5_pii, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece, op10_quality_classifier)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
