@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardwood.llm import exact_dedup, language, mixing, pieces, pii, quality, quality_rules, simhash, toxicity
+from hardwood.llm import exact_dedup, html_text, language, mixing, pieces, pii, quality, quality_rules, simhash, toxicity
 from hardwood.llm.common import fold, table
 
 
@@ -40,6 +40,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("row_key")
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -79,7 +83,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_exact_dedup, op4_quality_rules, op5_pii, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece, op10_quality_classifier)
+    for f in (op1_toxicity, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_pii, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece, op10_quality_classifier)
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
