@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hardwood.session import materialize, prepare
 
-__all__ = ["batch_pass", "fold", "keep_rows", "ready", "row_key", "staged", "table"]
+__all__ = ["batch_pass", "fold", "keep_rows", "one_each", "ready", "row_key", "staged", "table"]
 
 #: Rows of one Arrow batch. Texts may be long; a batch of this many stays small in a Python worker.
 BATCH_ROWS = 512
@@ -31,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def batch_pass(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]]) -> DataFrame:
+def batch_pass(df: DataFrame, schema: str | StructType, make: Callable[[], Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]]) -> DataFrame:
     """``make()`` once per task gives the function that turns one Arrow batch into result batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,3 +77,15 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
         return single
     repeated = keyed.join(marks.filter("kept"), same, "left_semi").dropDuplicates(["doc_id", "mark_row"])
     return single.unionByName(repeated.select(docs.columns))
+
+
+def one_each(verdicts: DataFrame, group: str) -> DataFrame:
+    """``verdicts`` with one kept row key for each value of ``group``: of several (rows that share an id), the smallest."""
+    several = staged(
+        verdicts.filter("kept").groupBy(F.col(group).alias("kept_group")).agg(F.min("row_key").alias("kept_key"), F.max("row_key").alias("last_key"))
+        .filter("kept_key != last_key").select("kept_group", "kept_key"),
+        "several",
+    )
+    joined = verdicts.join(several, F.col(group).eqNullSafe(F.col("kept_group")), "left")
+    kept = F.col("kept") & (F.col("kept_key").isNull() | (F.col("row_key") == F.col("kept_key")))
+    return joined.select("doc_id", "row_key", kept.alias("kept"))

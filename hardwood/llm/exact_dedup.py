@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import batch_pass, row_key, staged
+from hardwood.llm.common import batch_pass, keep_rows, one_each, row_key, staged
 
 #: Chunk sizes in bytes: none is shorter (but the last), the mean of what is added to that, none is longer.
 LEAST, MEAN, MOST = 1024, 4096, 65536
@@ -105,3 +105,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         "doc_id", "row_key", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
         F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256",
     )
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """One row of ``docs``, all columns, of each group of equal texts: the largest id."""
+    groups = staged(exact_groups(docs), "exact_groups")
+    return keep_rows(docs, one_each(groups, "text_sha256"))

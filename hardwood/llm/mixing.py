@@ -87,7 +87,7 @@ def fit_rates(shares: DataFrame, names: list[str], weights: Mapping[str, float],
     """Rates for rows of (tokens, posterior).
 
     ``total_tokens`` is what all targets add up to; by default as many as it takes for no domain to shrink:
-    the largest ratio of a domain's tokens to its weight.
+    the largest ratio of a domain's tokens to its weight. A domain without a weight keeps its share.
     """
     folded = staged(shares.groupBy("posterior").agg(F.sum("tokens").cast("double").alias("tokens")), "folded")
 
@@ -99,7 +99,8 @@ def fit_rates(shares: DataFrame, names: list[str], weights: Mapping[str, float],
     if not names:
         return Mixture([], [], [], [])
     now = totals([])
-    weight = np.array([max(0.0, float(weights.get(n, 0.0))) if now[k] > 0 else 0.0 for k, n in enumerate(names)])
+    share = now / now.sum() if now.sum() else now
+    weight = np.array([max(0.0, float(weights.get(n, share[k]))) if now[k] > 0 else 0.0 for k, n in enumerate(names)])
     if not weight.sum():
         return Mixture(names, [], now.tolist(), now.tolist())
     weight = weight / weight.sum()
@@ -116,14 +117,14 @@ def fit_rates(shares: DataFrame, names: list[str], weights: Mapping[str, float],
     return Mixture(names, gradients, target.tolist(), reached.tolist())
 
 
-def copies(rate: Column, key: Column) -> Column:
-    """Whole copies for a rate: the fraction is decided by a hash of the row, the same at every run."""
+def copies(rate: Column, key: Column, least: int = 0) -> Column:
+    """Whole copies for a rate, ``least`` or more: the fraction is decided by a hash of the row, the same at every run."""
     draw = F.pmod(F.xxhash64(key, F.lit("copies")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("int")
+    return F.greatest(F.lit(least), F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("int")
 
 
 def mix(
-    docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, total_tokens: float | None = None
+    docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, total_tokens: float | None = None, least: int = 0
 ) -> tuple[DataFrame, Mixture]:
     """doc_id, row_key, tokens, posterior, rate and copies of every row, and the fitted mixture.
 
@@ -133,4 +134,15 @@ def mix(
     shares = staged(posteriors(docs, model), "posteriors")
     fitted = fit_rates(shares, model.names, weights or dict.fromkeys(model.names, 1.0), total_tokens)
     rate = F.round(fitted.rate(F.col("posterior")), 6)
-    return shares.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), F.col("row_key"))), fitted
+    return shares.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), F.col("row_key"), least)), fitted
+
+
+def mixed(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], least: int = 0) -> DataFrame:
+    """Each row of ``docs``, all columns, as often as its rate says. Only rows that don't stay as they are meet the texts."""
+    rates, _ = mix(docs, labels, weights, least=least)
+    changed = rates.filter("copies != 1").groupBy("doc_id", "row_key").agg(F.min("copies").alias("mix_copies"))
+    changed = staged(changed.withColumnsRenamed({"doc_id": "mix_id", "row_key": "mix_key"}), "copies")
+    keyed = docs.withColumn("mix_row", row_key())
+    joined = keyed.join(changed, (F.col("mix_row") == F.col("mix_key")) & F.col("doc_id").eqNullSafe(F.col("mix_id")), "left")
+    times = F.coalesce("mix_copies", F.lit(1))
+    return joined.filter(times > 0).withColumn("mix_one", F.explode(F.array_repeat(F.lit(1), times))).select(docs.columns)

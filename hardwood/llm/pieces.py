@@ -243,21 +243,24 @@ def coder(model_file: str) -> Callable[[list[str]], list[tuple[bytes, int]]]:
 
 
 def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
-    """doc_id, ids (array of int, with begin and end ids) and n_library for every row of ``docs``."""
+    """doc_id, ids (array of int, with begin and end ids), round_trip (they decode to the text) and n_library for every row of ``docs``."""
 
     def make():
-        encode = coder(model_file)
+        vocab, encode = vocabulary(model_file), coder(model_file)
 
         def step(batch: pa.RecordBatch):
-            packed, odd = zip(*encode([t or "" for t in batch.column(1).to_pylist()]))
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            packed, odd = zip(*encode(texts))
             ids = [np.frombuffer(p, "<u4").astype(np.int32) for p in packed]
+            back = [vocab.decode(i.tolist()) == t for i, t in zip(ids, texts)]
             yield pa.record_batch(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(odd, pa.int64())], ["doc_id", "ids", "n_library"]
+                [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.bool_()), pa.array(odd, pa.int64())],
+                ["doc_id", "ids", "round_trip", "n_library"],
             )
 
         return step
 
-    return batch_pass(docs.select("doc_id", "text"), "doc_id long, ids array<int>, n_library long", make)
+    return batch_pass(docs.select("doc_id", "text"), "doc_id long, ids array<int>, round_trip boolean, n_library long", make)
 
 
 def decode_documents(tokens: DataFrame, model_file: str) -> DataFrame:

@@ -20,6 +20,11 @@ def tokenizer_file(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+#: Target weights of the domains (here languages) in the mix; others keep their share. The mix repeats documents and drops none.
+MIX_WEIGHTS = {"en": 0.50, "fr": 0.18, "de": 0.18, "es": 0.14}
+LEAST_COPIES = 1
+
+
 def learnable(labels: DataFrame, column: str, folds: int, held: int) -> DataFrame:
     """(doc_id, label) of the rows that may be learned from: those outside the held-out fold."""
     return labels.filter(F.pmod(fold("doc_id"), F.lit(folds)) != held).select("doc_id", F.col(column).alias("label")).dropna()
@@ -61,11 +66,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def domains(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", F.col("lang").alias("label")).dropna()
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The domains are the languages: the only labels of these tables that say what a text is like and cover all its parts."""
     docs = table(spark, sf_dir, "documents")
-    mixed, _ = mixing.mix(docs, docs.select("doc_id", F.col("lang").alias("label")).dropna())
-    return mixed.select("doc_id", "tokens", "posterior", "rate", "copies")
+    rates, _ = mixing.mix(docs, domains(docs), MIX_WEIGHTS, least=LEAST_COPIES)
+    return rates.select("doc_id", "tokens", "posterior", "rate", "copies")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

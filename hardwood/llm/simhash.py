@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import batch_pass, row_key, staged
+from hardwood.llm.common import batch_pass, keep_rows, one_each, row_key, staged
 from hardwood.llm.components import components
 
 SHINGLE_WORDS, BITS_APART, BYTES_SHARED = 4, 4, 4
@@ -122,15 +122,22 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, fp, fingerprint (16 hex digits) and component_id of every row of ``docs``."""
+    """doc_id, row_key, root (a fingerprint, one per component), fingerprint (16 hex digits) and component_id of every row of ``docs``."""
     rows = staged(fingerprints(docs), "fingerprints")
     classes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("low_id"), F.count("*").alias("n")), "classes")
     roots = components(links(classes.select("fp")))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "low_id", "n", F.coalesce("root", "fp").alias("root"))
     low = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"), F.sum("n").alias("n"))
     # Fingerprints of one row alone need no lookup.
-    found = staged(rooted.select("fp", "root").join(low.filter("n > 1"), "root").select("fp", "component_id"), "components")
-    return rows.join(found.withColumn("met", F.lit(True)), "fp", "left").select(
-        "doc_id", "row_key", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        F.when(F.col("met"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+    found = staged(rooted.select("fp", "root").join(low.filter("n > 1"), "root").select("fp", "component_id", F.col("root").alias("met")), "components")
+    return rows.join(found, "fp", "left").select(
+        "doc_id", "row_key", F.coalesce("met", "fp").alias("root"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.when(F.col("met").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """One row of ``docs``, all columns, of each component: the smallest id."""
+    groups = staged(near_groups(docs), "near_groups")
+    kept = groups.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return keep_rows(docs, one_each(kept, "root"))

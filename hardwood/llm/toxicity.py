@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import batch_pass, row_key, staged
+from hardwood.llm.common import batch_pass, row_key
 from hardwood.llm.sampling import labelled_sample, with_texts
 from hardwood.llm.trees import Boosted, boost, isotonic
 
@@ -153,21 +153,6 @@ class Reader:
         return np.array([self.row(t) for t in texts], np.float64).reshape(len(texts), len(FEATURES))
 
 
-def features(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """doc_id, row_key and the features of every row, from whole texts in one pass."""
-
-    def make():
-        reader = Reader(lexicon)
-
-        def step(batch: pa.RecordBatch):
-            found = reader.rows(batch.column(2).to_pylist())
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(list(found), pa.list_(pa.float64()))], ["doc_id", "row_key", "x"])
-
-        return step
-
-    return batch_pass(docs.select("doc_id", row_key().alias("row_key"), "text"), "doc_id long, row_key long, x array<double>", make)
-
-
 def fit(texts: DataFrame) -> tuple[dict[str, float], Boosted]:
     """Lexicon and calibrated trees from a bounded sample (label, place, text)."""
     lexicon = learn_lexicon(texts.filter(F.col("place") % 2 == 0))
@@ -191,10 +176,14 @@ def fit(texts: DataFrame) -> tuple[dict[str, float], Boosted]:
     return lexicon, model
 
 
+def trained(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], Boosted]:
+    """Lexicon and trees from the rows of ``docs`` that ``labels`` (doc_id, label 0 or 1) covers; a bounded sample of them."""
+    return fit(with_texts(docs, labelled_sample(labels, "doc_id", F.col("label").cast("int"), LEXICON_ROWS + TREE_ROWS)))
+
+
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, row_key and score of every row of ``docs``; ``labels`` is (doc_id, label 0 or 1) of rows to learn from."""
-    sample = labelled_sample(labels, "doc_id", F.col("label").cast("int"), LEXICON_ROWS + TREE_ROWS)
-    lexicon, model = fit(with_texts(docs, sample))
+    lexicon, model = trained(docs, labels)
 
     def make():
         reader = Reader(lexicon)
@@ -206,3 +195,20 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return step
 
     return batch_pass(docs.select("doc_id", row_key().alias("row_key"), "text"), "doc_id long, row_key long, score double", make)
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``limit``; decided in the pass itself, without a join."""
+    lexicon, model = trained(docs, labels)
+    place = docs.columns.index("text")
+
+    def make():
+        reader = Reader(lexicon)
+
+        def step(batch: pa.RecordBatch):
+            given = model.score(reader.rows(batch.column(place).to_pylist()))
+            yield batch.filter(pa.array(given < limit))
+
+        return step
+
+    return batch_pass(docs, docs.schema, make)
