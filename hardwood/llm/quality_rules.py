@@ -105,12 +105,15 @@ def thresholds(rows: DataFrame) -> DataFrame:
     """lang, source and the fences that hold there: the group's own, or its language's, or the corpus's."""
     sketch = staged(sketches(rows), "sketch")
     names = [f"{side}_{m}" for m in MEASURES for side in ("floor", "ceiling")]
-    own, every = fences(sketch, "lang", "source"), sketch.withColumn("all", F.lit(1))
+    own = fences(sketch, "lang", "source")
     lang = fences(merged(sketch, "lang"), "lang").select(F.col("lang").alias("l_lang"), F.col("rows").alias("l_rows"), *[F.col(n).alias("l_" + n) for n in names])
-    corpus = fences(merged(every, "all"), "all").select(F.col("all").alias("c_all"), *[F.col(n).alias("c_" + n) for n in names])
-    joined = own.withColumn("all", F.lit(1)).join(lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(corpus, F.col("all") == F.col("c_all"))
+    # One row: the corpus's fences are a few numbers.
+    corpus = fences(merged(sketch.withColumn("all", F.lit(1)), "all"), "all").first()
+    joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")))
     chosen = [
-        F.when(F.col("rows") >= ENOUGH, F.col(n)).when(F.col("l_rows") >= ENOUGH, F.col("l_" + n)).otherwise(F.col("c_" + n)).alias(n) for n in names
+        F.when(F.col("rows") >= ENOUGH, F.col(n)).when(F.col("l_rows") >= ENOUGH, F.col("l_" + n))
+        .otherwise(F.lit(corpus[n] if corpus else None).cast("long")).alias(n)
+        for n in names
     ]
     return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *chosen)
 
