@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 
 from hardwood.session import materialize, prepare
 
-__all__ = ["batch_pass", "fold", "keep_rows", "one_each", "ready", "row_key", "staged", "table"]
+__all__ = ["batch_pass", "fold", "fresh_name", "keep_rows", "one_each", "ready", "row_key", "staged", "table"]
 
 #: Rows of one Arrow batch. Texts may be long; a batch of this many stays small in a Python worker.
 BATCH_ROWS = 512
@@ -65,20 +65,28 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     Only what is rejected or repeated is joined, so that a small share is
     broadcast; texts are shuffled only if that share is large.
     """
+    row, mark_id, mark_key = (fresh_name(docs, n) for n in ("mark_row", "mark_id", "mark_key"))
     marks = staged(
         verdicts.groupBy("doc_id", "row_key").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-        .filter("not kept or n > 1").select(F.col("doc_id").alias("mark_id"), F.col("row_key").alias("mark_key"), "kept"),
+        .filter("not kept or n > 1").select(F.col("doc_id").alias(mark_id), F.col("row_key").alias(mark_key), "kept"),
         "marks",
     )
-    keyed = docs.withColumn("mark_row", row_key())
-    same = (F.col("mark_row") == F.col("mark_key")) & F.col("doc_id").eqNullSafe(F.col("mark_id"))
-    single = keyed.join(marks, same, "left_anti").select(docs.columns)
+    keyed = docs.withColumn(row, row_key())
+    same = (F.col(row) == F.col(mark_key)) & F.col("doc_id").eqNullSafe(F.col(mark_id))
+    single = keyed.join(marks.drop("kept"), same, "left_anti").select(docs.columns)
     if marks.filter("kept").isEmpty():
         return single
-    repeated = keyed.join(marks.filter("kept"), same, "left_semi").dropDuplicates(["doc_id", "mark_row"])
+    repeated = keyed.join(marks.filter("kept").drop("kept"), same, "left_semi").dropDuplicates(["doc_id", row])
     return single.unionByName(repeated.select(docs.columns))
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as it takes for ``df`` to have no such column."""
+    while name in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def one_each(verdicts: DataFrame, group: str) -> DataFrame:
     """``verdicts`` with one kept row key for each value of ``group``: of several (rows that share an id), the smallest."""
     several = staged(

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hardwood.llm.common import batch_pass, row_key, staged
+from hardwood.llm.common import batch_pass, fresh_name, row_key, staged
 from hardwood.llm.language import fit
 from hardwood.llm.subwords import SubwordModel
 
@@ -140,9 +140,9 @@ def mix(
 def mixed(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], least: int = 0) -> DataFrame:
     """Each row of ``docs``, all columns, as often as its rate says. Only rows that don't stay as they are meet the texts."""
     rates, _ = mix(docs, labels, weights, least=least)
-    changed = rates.filter("copies != 1").groupBy("doc_id", "row_key").agg(F.min("copies").alias("mix_copies"))
-    changed = staged(changed.withColumnsRenamed({"doc_id": "mix_id", "row_key": "mix_key"}), "copies")
-    keyed = docs.withColumn("mix_row", row_key())
-    joined = keyed.join(changed, (F.col("mix_row") == F.col("mix_key")) & F.col("doc_id").eqNullSafe(F.col("mix_id")), "left")
-    times = F.coalesce("mix_copies", F.lit(1))
-    return joined.filter(times > 0).withColumn("mix_one", F.explode(F.array_repeat(F.lit(1), times))).select(docs.columns)
+    row, one, mix_id, mix_key, times = (fresh_name(docs, n) for n in ("mix_row", "mix_one", "mix_id", "mix_key", "mix_copies"))
+    changed = rates.filter("copies != 1").groupBy(F.col("doc_id").alias(mix_id), F.col("row_key").alias(mix_key))
+    changed = staged(changed.agg(F.min("copies").alias(times)), "copies")
+    joined = docs.withColumn(row, row_key()).join(changed, (F.col(row) == F.col(mix_key)) & F.col("doc_id").eqNullSafe(F.col(mix_id)), "left")
+    often = F.coalesce(times, F.lit(1))
+    return joined.filter(often > 0).withColumn(one, F.explode(F.array_repeat(F.lit(1), often))).select(docs.columns)

@@ -18,6 +18,8 @@ BUCKETS, WIDTH, LONGEST = 1 << 15, 16, 3
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Words of one training example: texts are cut to such pieces, so that short texts are learned too.
 PIECE_WORDS = 30
+#: Steps that training takes at least.
+LEAST_STEPS = 200
 #: Words a worker remembers.
 MEMORY = 400_000
 _STEP = np.uint64(0x100000001B3)
@@ -110,6 +112,8 @@ def train(
     bags = [subwords(w)[0].astype(np.int32) for _, w in examples]
     vectors = rng.normal(0, 1 / WIDTH, (BUCKETS, WIDTH)).astype(np.float32)
     weight, bias = np.zeros((k, WIDTH), np.float32), np.zeros(k, np.float32)
+    # A small set is gone through more often.
+    epochs = max(epochs, -(-LEAST_STEPS // -(-len(bags) // batch)))
     rounds, at = epochs * -(-len(bags) // batch), 0
     for _ in range(epochs):
         order = rng.permutation(len(bags))

@@ -101,7 +101,7 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 3, rate:
 def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
     """Knots of the least-squares nondecreasing fit by pooling neighbours; None if one class is missing.
 
-    Each pool is smoothed by one imagined row of the overall share, so scores stay inside 0 and 1.
+    Shares are kept off 0 and 1 by what one imagined row among all would add.
     """
     if len(np.unique(y)) < 2:
         return None
@@ -112,6 +112,6 @@ def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last)]
-    share = y.mean()
-    knots = np.array([[s / n, (t + share) / (n + 1)] for t, n, s in pools])
-    return knots[:, 0], np.maximum.accumulate(knots[:, 1])
+    knots = np.array([[s / n, t / n] for t, n, s in pools])
+    edge = 1 / (len(y) + 2)
+    return knots[:, 0], np.clip(knots[:, 1], edge, 1 - edge)
