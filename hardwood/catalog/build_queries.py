@@ -78,7 +78,13 @@ def clean_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("c_mktsegment") == "HOUSEHOLD", F.lpad(key, 25, "9"))
         .otherwise(key)
     )
-    season = F.concat(F.lit("2"), F.lpad(F.col("c_nationkey").cast("string"), 4, "20"))
+    year = F.lpad(F.col("c_nationkey").cast("string"), 4, "20")
+    padded = F.concat(F.repeat(F.lit("0"), F.lit(30)), year)
+    season = F.concat(
+        F.lit("2"),
+        F.when(F.col("c_mktsegment") == "BUILDING", padded).when(F.col("c_mktsegment") == "FURNITURE", F.concat(padded, F.lit("x")))
+        .otherwise(year),
+    )
     return s.read(spark, sf_dir, "customer").withColumns({"raw": raw, "season": season}).select(
         "c_custkey", numeric_id(F.col("raw")).alias("id"), to_number(F.col("raw")).alias("number"),
         numeric_id(without_sentinel(F.col("c_nationkey").cast("string"))).alias("team_id"),
@@ -94,12 +100,12 @@ CLEAN_IDS_SQL = r"""
             WHEN 'FURNITURE' THEN concat(c_custkey, chr(10))
             WHEN 'HOUSEHOLD' THEN lpad(CAST(c_custkey AS VARCHAR), 25, '9')
             ELSE CAST(c_custkey AS VARCHAR) END AS raw,
-            CAST(lpad(CAST(c_nationkey AS VARCHAR), 4, '20') AS INTEGER) AS season_year
+            CASE WHEN c_mktsegment <> 'FURNITURE' THEN CAST(lpad(CAST(c_nationkey AS VARCHAR), 4, '20') AS INTEGER) END AS season_year
         FROM customer
     )
     SELECT c_custkey, CASE WHEN regexp_full_match(raw, '[0-9]+') THEN TRY_CAST(raw AS BIGINT) END AS id,
            CASE WHEN regexp_full_match(trim(raw), '[0-9]+') THEN CAST(trim(raw) AS DOUBLE) END AS number, CAST(nullif(c_nationkey, 0) AS BIGINT) AS team_id,
-           season_year, concat(season_year, '-', season_year + 1) AS label
+           season_year, season_year || '-' || (season_year + 1) AS label
     FROM raws
 """
 
@@ -136,13 +142,17 @@ _SIDES = f"""
 """
 
 
+def _times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored season dimension that lacks one season."""
+    return materialize(s.warehouse_times(spark, sf_dir, "lineitem", "l_shipdate").where("season_year <> 1995"), "times")
+
+
 def _dims(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Stored zone and season dimensions that lack one kind of zone and one season."""
     zones = dimensions.dim_zone(s.shots(spark, sf_dir)).where(
         ~((F.col("basic_zone") == "R") & (F.col("zone_range") == "30+ ft."))
     )
-    times = s.warehouse_times(spark, sf_dir, "lineitem", "l_shipdate").where("season_year <> 1995")
-    return assign_ids(zones, facts.ZONE_KEY, "zone_id"), materialize(times, "times")
+    return assign_ids(zones, facts.ZONE_KEY, "zone_id"), _times(spark, sf_dir)
 
 
 _DIMS = f"""
@@ -191,8 +201,7 @@ FACT_SHOTS_BUILD_SQL = f"""
 
 
 def fact_games_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, times = _dims(spark, sf_dir)
-    return facts.fact_games(s.games(spark, sf_dir), s.other_stats(spark, sf_dir), times)
+    return facts.fact_games(s.games(spark, sf_dir), s.other_stats(spark, sf_dir), _times(spark, sf_dir))
 
 
 FACT_GAMES_BUILD_SQL = f"""

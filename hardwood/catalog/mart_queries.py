@@ -105,7 +105,7 @@ def full_refresh_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = ("team_id", "season_year")
     refresh_unless_empty(mart, path, key, "three_point_trends")
     refresh_unless_empty(mart.where(F.col("games_played") < 0), path, key, "three_point_trends")
-    return spark.read.schema(mart.schema).parquet(path)
+    return spark.read.schema(mart.schema).parquet(path).select(mart.columns)
 
 
 def season_chain(spark: SparkSession, sf_dir: str) -> DataFrame:

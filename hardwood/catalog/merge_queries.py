@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ from hardwood.functions.hashing import row_hash
 from hardwood.operators.audit import load_audit, season_backlog
 from hardwood.operators.delta import known_rows, newer_than_target
 from hardwood.operators.latest import STAMP, latest
-from hardwood.operators.scd2 import advance, classify
+from hardwood.operators.scd2 import history_of
 from hardwood.operators.snapshot import deleted_keys, rows_to_append, snapshot_status
 from hardwood.operators.surrogate import assign_ids
 from hardwood.operators.upsert import upsert
@@ -93,26 +91,10 @@ UPSERT_MERGE_SQL = f"""
 
 
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly batches of each user's newest event type, merged in order into one history."""
+    """Weekly batches of each user's newest event type as one history."""
     events = _events(spark, sf_dir).withColumn("week", F.date_trunc("week", "ts").cast("date"))
-    attributes = ["event_type"]
-    keyed = latest(events, ["week", "user_id"], "ts").select("week", "user_id", "event_type", "ts")
-    batches = materialize(keyed, "batches", ["week"])
-    # One value per week: as many as the calendar has, whatever the number of rows.
-    weeks = sorted(row.week for row in batches.select("week").distinct().collect())
-    empty = batches.where(F.lit(False)).select(
-        "user_id", *attributes, "ts", F.col("ts").alias("valid_from"), F.col("ts").alias("valid_to"),
-        F.lit(True).alias("is_active"),
-    )
-    active, history = empty, []
-    for week in weeks:
-        batch = batches.where(F.col("week") == week).drop("week")
-        step = advance(active, materialize(classify(active, batch, ["user_id"], attributes, "ts"), "classified"),
-                       ["user_id"], attributes, "ts")
-        moved = materialize(step.closed.unionByName(step.untouched).unionByName(step.opened), "history", ["is_active"])
-        history.append(moved.where(~F.col("is_active")))
-        active = moved.where("is_active")
-    return reduce(DataFrame.unionByName, history, active).drop("ts")
+    batches = latest(events, ["week", "user_id"], "ts").select("week", "user_id", "event_type", "ts")
+    return history_of(batches, ["user_id"], ["event_type"], "ts")
 
 
 SCD2_HISTORY_SQL = """

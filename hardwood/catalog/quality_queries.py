@@ -103,6 +103,7 @@ TEXT_COLUMNS = {
     "events": ("event_type", "props"),
     "documents": ("text", "lang", "source"),
     "pages": ("url", "html"),
+    "benchmark": ("text",),
     "conversations": ("role", "text"),
     "nation": ("n_name",),
     "region": ("r_name",),

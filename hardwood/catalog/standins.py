@@ -30,11 +30,12 @@ def _range(quantity: Column) -> Column:
     )
 
 
-# Stage role of shots. The last two key parts are constant or NULL, so that keys repeat.
+# Stage role of shots, of the team that is the supplier's nation. The last two key parts are constant or NULL, so that keys repeat.
 def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "lineitem").select(
+    nations = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    return read(spark, sf_dir, "lineitem").join(nations, "l_suppkey").select(
         F.year("l_shipdate").cast("string").alias("season_1"),
-        _text("l_partkey").alias("team_id"),
+        _text("s_nationkey").alias("team_id"),
         _text("l_suppkey").alias("player_id"),
         _text("l_orderkey").alias("game_id"),
         (F.col("l_discount") > 0.05).alias("shot_made"),
@@ -54,7 +55,7 @@ def shots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SHOTS = """
-    SELECT CAST(year(l_shipdate) AS VARCHAR) AS season_1, CAST(l_partkey AS VARCHAR) AS team_id,
+    SELECT CAST(year(l_shipdate) AS VARCHAR) AS season_1, CAST(s_nationkey AS VARCHAR) AS team_id,
            CAST(l_suppkey AS VARCHAR) AS player_id, CAST(l_orderkey AS VARCHAR) AS game_id,
            l_discount > 0.05 AS shot_made,
            CASE WHEN l_tax > 0.04 THEN '3PT Field Goal' ELSE '2PT Field Goal' END AS shot_type,
@@ -65,7 +66,7 @@ SHOTS = """
            l_quantity AS loc_x, l_extendedprice AS loc_y, CAST(l_quantity AS INTEGER) AS shot_distance,
            l_linenumber AS quarter, CASE WHEN l_linestatus = 'F' THEN 5 END AS mins_left, 0 AS secs_left,
            l_shipdate AS load_timestamp
-    FROM lineitem
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 """
 
 

@@ -52,7 +52,7 @@ def without_sentinel(column: Column, sentinel: str = "0") -> Column:
 
 def season_year(season_id: Column) -> Column:
     """Start year of a season id such as ``22010``; the first character is the season kind."""
-    return start_year(F.substring(season_id, 2, 20))
+    return start_year(F.substr(season_id, F.lit(2)))
 
 
 def start_year(column: Column) -> Column:

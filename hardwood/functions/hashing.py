@@ -1,4 +1,8 @@
-"""Row fingerprints that ignore formatting differences but not content."""
+"""Row fingerprints that ignore formatting differences but not content.
+
+One decision: a timestamp counts by its day, as sources stamp the same day
+differently from load to load.
+"""
 
 from __future__ import annotations
 
@@ -13,12 +17,29 @@ from hardwood.functions.cleaning import may_be_number
 SEPARATOR = "\x1f"
 
 
-def _plain_number(value: Column) -> Column:
-    """``1949.0`` and ``1949`` both print as ``1949``."""
-    whole = value.cast("decimal(38,0)")
-    return F.when(F.floor(value) == value, whole.cast("string")).otherwise(
-        F.regexp_replace(value.cast("string"), r"\.?0+$", "")
+# A number as it may be written; \\z as in ``cleaning``.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+
+
+def plain_number(text: Column) -> Column:
+    """One spelling for all digits-alike forms of a number's text: ``1949.0``, ``+01949`` and ``1949`` give ``1949``.
+
+    Works on the text alone, so that numbers of any size or scale keep every
+    digit that tells them apart.
+    """
+    steps = (
+        (r"^\+", ""),
+        (r"^(-?)(?=[.])", "$10"),  # a digit before the point
+        (r"^(-?)0+(?=[0-9])", "$1"),  # zeros in front
+        (r"(\.[0-9]*?)0+(?=[eE]|\z)", "$1"),  # zeros behind the point
+        (r"\.(?=[eE]|\z)", ""),
+        (r"[eE]\+?(-?)0*(?=[0-9])", "E$1"),
+        (r"E-?0\z", ""),
+        (r"^-?0(E.*)?\z", "0"),
     )
+    for pattern, into in steps:
+        text = F.regexp_replace(text, pattern, into)
+    return text
 
 
 def _normal_form(df: DataFrame, name: str, numeric: bool) -> Column:
@@ -28,12 +49,13 @@ def _normal_form(df: DataFrame, name: str, numeric: bool) -> Column:
         text = F.trim(value)
         if not numeric:
             return text
-        return F.coalesce(F.when(may_be_number(text), _plain_number(text.try_cast("decimal(38,10)"))), text)
+        return F.when(may_be_number(text) & text.rlike(NUMBER), plain_number(text)).otherwise(text)
     if isinstance(kind, (T.FloatType, T.DoubleType)):
-        # Through text, so that a double such as 0.1 keeps its printed digits.
-        return F.coalesce(_plain_number(value.cast("string").try_cast("decimal(38,10)")), value.cast("string"))
+        # Whole numbers below 2^53 print without an exponent, like integers and their text.
+        whole = (F.floor(value) == value) & (F.abs(value) < float(1 << 53))
+        return F.when(whole, value.cast("decimal(20,0)").cast("string")).otherwise(plain_number(value.cast("string")))
     if isinstance(kind, T.NumericType):
-        return _plain_number(value.cast("decimal(38,10)"))
+        return plain_number(value.cast("string"))
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.date_format(value, "yyyy-MM-dd")
     return F.trim(value.cast("string"))

@@ -13,9 +13,6 @@ INSERTED = "inserted"
 UPDATED = "updated"
 UNCHANGED = "unchanged"
 
-# A key set of at most this many rows is sent to every executor.
-SMALL_ROWS = 500_000
-
 
 def key_match(keys: Sequence[str], nullable: Collection[str], left: str, right: str) -> Column:
     """Join condition on ``keys``; NULL equals NULL for the nullable ones only.
@@ -36,20 +33,16 @@ def known_rows(
     keys: Sequence[str],
     carry: Sequence[str],
     nullable: Collection[str] = (),
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """The ``carry`` columns of those target rows whose key occurs in staged ``candidates``.
 
-    A long target meets a short delta on most days. When the delta's keys are
-    few, which the file footers tell, they are broadcast and the target is read
-    without a shuffle; otherwise the target is returned whole and the caller's
-    join shuffles both sides.
+    A long target meets a short delta on most days. The planner knows the size
+    of the staged delta: below the session's broadcast threshold the target is
+    read without a shuffle, beyond it both sides are shuffled on the key, and the
+    join that follows uses that partitioning again.
     """
-    slim = target.select(*keys, *carry)
-    if candidates.count() > small_rows:
-        return slim
-    wanted = F.broadcast(candidates.select(*keys)).alias("c")
-    return slim.alias("t").join(wanted, key_match(keys, nullable, "t", "c"), "left_semi")
+    slim, wanted = target.select(*keys, *carry).alias("t"), candidates.select(*keys).alias("c")
+    return slim.join(wanted, key_match(keys, nullable, "t", "c"), "left_semi")
 
 
 def newer_than_target(

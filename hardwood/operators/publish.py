@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hardwood.operators.constraints import check_unique
 from hardwood.operators.delta import UPDATED
 from hardwood.operators.upsert import without_keys
 from hardwood.session import materialize
-from hardwood.sources.stage import delete_path
+from hardwood.sources.stage import delete_path, path_exists
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -20,8 +20,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     Rebalancing splits a partition that holds most of the rows over several
     tasks and files, and gathers small ones.
     """
+    constant = list(partition_by) == ["slice"]
     (
-        df.hint("rebalance", *partition_by)
+        (df.hint("rebalance") if constant else df.hint("rebalance", *partition_by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -29,23 +30,61 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}__pending"
+
+
+def commit(df: DataFrame, path: str, partition_by: Sequence[str], emptied: Sequence[str] = ()) -> None:
+    """Exchange the partitions ``df`` has rows for, and drop the ``emptied`` ones (``column=value``), all or none.
+
+    The new partitions are first written whole beside the table and marked ready.
+    A run that dies before the mark has changed nothing; one that dies after it
+    is completed by ``finish_pending``, which every load calls before it reads.
+    Exchanging the same partitions twice gives the same table.
+    """
+    spark, pending = df.sparkSession, _pending(path)
+    delete_path(spark, pending)
+    df.write.parquet(f"{pending}/rows")
+    spark.createDataFrame([(name,) for name in emptied], "name string").coalesce(1).write.parquet(f"{pending}/emptied")
+    spark.createDataFrame([(name,) for name in partition_by], "name string").coalesce(1).write.parquet(f"{pending}/ready")
+    finish_pending(spark, path)
+
+
+def finish_pending(spark: SparkSession, path: str) -> bool:
+    """Complete an exchange that an earlier run marked ready, or clear one it did not. True if rows were exchanged."""
+    pending = _pending(path)
+    ready = path_exists(spark, f"{pending}/ready/_SUCCESS")
+    if ready:
+        partition_by = [row.name for row in spark.read.parquet(f"{pending}/ready").collect()]
+        overwrite_partitions(spark.read.parquet(f"{pending}/rows"), path, partition_by)
+        for row in spark.read.schema("name string").parquet(f"{pending}/emptied").collect():
+            delete_path(spark, f"{path}/{row.name}")
+    if path_exists(spark, pending):
+        delete_path(spark, pending)
+    return ready
+
+
 def replace_whole(df: DataFrame, path: str, key: Sequence[str], name: str) -> None:
-    """Replace a small table, as one constant partition, that ``df`` itself may have read.
+    """Replace a table, as one constant partition, that ``df`` itself may have read.
 
     Unlike a plain overwrite this keeps the old rows, and with them the ids that
     facts refer to, until the new ones are complete.
     """
     check_unique(df, key, name)
-    overwrite_partitions(df.withColumn("slice", F.lit("all")), path, ["slice"])
+    commit(df.withColumn("slice", F.lit("all")), path, ["slice"])
 
 
 def refresh_unless_empty(df: DataFrame, path: str, key: Sequence[str], name: str) -> int:
-    """Full refresh of a mart; an empty result leaves the old rows in place. Returns the number of rows written."""
+    """Full refresh of a mart; an empty result leaves the old rows in place. Returns the number of rows written.
+
+    The rows are written beside the old ones, counted and checked there, and then exchanged.
+    """
+    spark = df.sparkSession
+    finish_pending(spark, path)
     staged = materialize(df, name)
     rows = staged.count()
     if rows:
-        check_unique(staged, key, name)
-        staged.write.mode("overwrite").parquet(path)
+        replace_whole(staged, path, key, name)
     return rows
 
 
@@ -55,8 +94,9 @@ def publish_changes(
     """Merge staged ``changes`` into a partitioned table, touching only the partitions they name.
 
     New keys alone are appended. Once a stored row changes, its old and its new
-    partition are rewritten, since a correction may move a row; a partition that
-    loses its last row is dropped, which a dynamic overwrite would not do.
+    partition are exchanged together, since a correction may move a row; a partition that
+    loses its last row is dropped, which a dynamic overwrite would not do. The touched partitions are checked to be
+    unique before anything is published.
     """
     rows = changes.select(target.columns)
     moves = changes.select(partition, f"known_{partition}", "status").distinct().collect()
@@ -66,9 +106,9 @@ def publish_changes(
     arriving = {row[0] for row in moves}
     left_behind = {row[1] for row in moves if row[1] is not None} - arriving
     kept = without_keys(target.where(F.col(partition).isin(*arriving, *left_behind)), changes, key, nullable)
-    emptied = left_behind and left_behind - {
-        row[0] for row in kept.where(F.col(partition).isin(*left_behind)).select(partition).distinct().collect()
-    }
-    overwrite_partitions(kept.unionByName(rows), path, [partition])
-    for value in emptied:
-        delete_path(target.sparkSession, f"{path}/{partition}={value}")
+    touched = materialize(kept.unionByName(rows), "touched")
+    check_unique(touched, key, path)
+    filled = {
+        row[0] for row in touched.where(F.col(partition).isin(*left_behind)).select(partition).distinct().collect()
+    } if left_behind else set()
+    commit(touched, path, [partition], [f"{partition}={value}" for value in sorted(left_behind - filled)])

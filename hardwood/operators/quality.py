@@ -92,8 +92,9 @@ def quality(df: DataFrame, rules: QualityRules, table: str) -> DataFrame:
     """One row per check.
 
     Row checks are counted in groups of whole columns: a wide table in one
-    aggregate would make generated code too large to be compiled, while a
-    columnar file is read only once either way. Duplicates are counted apart on
+    aggregate would make generated code too large to be compiled. The loads call
+    this on a staged columnar copy, so a source is parsed once and each group
+    reads its own columns only. Duplicates are counted apart on
     the key columns alone: surplus rows per key, summed, which needs neither a
     distinct aggregate beside the others nor the remaining columns.
     """
@@ -130,14 +131,9 @@ def quality(df: DataFrame, rules: QualityRules, table: str) -> DataFrame:
 
 
 def comment(report: Sequence[Row]) -> str:
-    """The collected rows of a quality report, one per check, as one line of text."""
-    missing = ", ".join(f"{r.column}: {r.n_bad}" for r in report if r.check == MISSING and r.n_bad)
-    duplicates = next(r for r in report if r.check == DUPLICATE)
-    return (
-        f"Missing values: {missing}; Duplicates ({duplicates.column}): {duplicates.n_bad}; "
-        f"Format issues: {sum(r.n_bad for r in report if r.check == FORMAT)}; "
-        f"Business rule issues: {sum(r.n_bad for r in report if r.check == BUSINESS)}"
-    )
+    """The failed checks of a collected quality report as ``check column=rows``; ``clean`` if there are none."""
+    failed = [f"{r.check} {r.column}={r.n_bad}" for r in report if r.n_bad]
+    return ", ".join(failed) or "clean"
 
 
 def text_lengths(df: DataFrame, table: str, limits: Mapping[str, int] | None = None, default: int = 100) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hardwood.functions.cleaning import any_distinct
@@ -60,3 +60,20 @@ def advance(active: DataFrame, classified: DataFrame, keys: Sequence[str], attri
     )
     untouched = active.join(switch, list(keys), "left_anti")
     return HistoryStep(closed, opened, untouched.select(active.columns))
+
+
+def history_of(batches: DataFrame, keys: Sequence[str], attributes: Sequence[str], stamp: str = STAMP) -> DataFrame:
+    """The history that merging a backlog of batches one after another would give, in one plan.
+
+    ``batches`` holds one row per key and batch. A row opens a version where an
+    attribute differs from the key's row before; the version closes when the next one opens. Rows of a key meet in one
+    task: as many as there are batches, whatever the number of source rows.
+    """
+    by_key = Window.partitionBy(*keys).orderBy(stamp)
+    first = F.lag(F.lit(True)).over(by_key).isNull()
+    differs = any_distinct([(F.col(name), F.lag(name).over(by_key)) for name in attributes])
+    opened = batches.withColumn("_opens", first | differs).where("_opens")
+    closes = F.lead(stamp).over(by_key)
+    return opened.select(
+        *keys, *attributes, F.col(stamp).alias("valid_from"), closes.alias("valid_to"), closes.isNull().alias("is_active")
+    )

@@ -64,12 +64,3 @@ def deleted_keys(classified: DataFrame, keys: Sequence[str]) -> DataFrame:
     return classified.where(F.col("status") == DELETED).select(
         *keys, F.concat_ws(", ", *pairs).alias("description")
     )
-
-
-def describe_deleted(classified: DataFrame, keys: Sequence[str], sample: int = 20, width: int = 1000) -> str:
-    """Number of deleted keys and a sample of them; the whole list stays a DataFrame."""
-    gone = deleted_keys(classified, keys)
-    total = gone.count()
-    shown = "; ".join(row.description for row in gone.select("description").limit(sample).collect())
-    suffix = "... truncated" if total > sample or len(shown) > width else ""
-    return f"Deleted keys: {total} [{shown[:width]}{suffix}]"

@@ -80,4 +80,15 @@ def classify_games(games: DataFrame) -> DataFrame:
 
 def dim_game(games: DataFrame) -> DataFrame:
     """Newest usable row per game. Ids are parsed before rows are compared, so ``0021`` and ``21`` are one game."""
-    return latest(classify_games(games).where(F.col("reason").isNull()).drop("reason"), ["game_id"])
+    return newest_games(classify_games(games))
+
+
+def newest_games(classified: DataFrame) -> DataFrame:
+    """``dim_game`` from games already classified."""
+    return latest(classified.where(F.col("reason").isNull()).drop("reason"), ["game_id"])
+
+
+def unusable(rows: DataFrame, key: str) -> DataFrame:
+    """Rows a dimension cannot take for want of a key or stamp, with the reason."""
+    reason = missing_required([key, STAMP])
+    return rows.withColumn("reason", reason).where(F.col("reason").isNotNull())

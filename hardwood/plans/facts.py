@@ -60,7 +60,12 @@ def classify_shots(shots: DataFrame, zones: DataFrame, times: DataFrame) -> Data
 
 def fact_shots(shots: DataFrame, zones: DataFrame, times: DataFrame) -> DataFrame:
     """Newest usable row per shot key."""
-    usable = classify_shots(shots, zones, times).where(F.col("reason").isNull())
+    return newest_shots(classify_shots(shots, zones, times))
+
+
+def newest_shots(classified: DataFrame) -> DataFrame:
+    """``fact_shots`` from shots already classified."""
+    usable = classified.where(F.col("reason").isNull())
     return latest(usable.select(*FACT_SHOTS.key, *FACT_SHOTS.attributes, STAMP), FACT_SHOTS.key)
 
 
@@ -109,14 +114,17 @@ def classify_game_sides(games: DataFrame, times: DataFrame) -> DataFrame:
 
 
 def fact_games(games: DataFrame, other_stats: DataFrame, times: DataFrame) -> DataFrame:
-    """Newest row per game and team, with points in the paint where known.
+    """Newest row per game and team, with points in the paint where known."""
+    return newest_sides(classify_game_sides(games, times), other_stats)
+
+
+def newest_sides(classified: DataFrame, other_stats: DataFrame) -> DataFrame:
+    """``fact_games`` from sides already classified.
 
     Both join sides are down to one row per key first, so a game with several
     stored versions on either side does not fan out.
     """
-    sides = latest(
-        classify_game_sides(games, times).where(F.col("reason").isNull()).drop("reason"), ["game_id", "team_id"]
-    )
+    sides = latest(classified.where(F.col("reason").isNull()).drop("reason"), ["game_id", "team_id"])
     paint = latest(
         other_stats.select(
             numeric_id(F.col("game_id").cast("string")).alias("game_id"),

@@ -13,17 +13,17 @@ from pyspark.sql import types as T
 from hardwood import tables as t
 from hardwood.functions.cleaning import start_year
 from hardwood.operators.audit import load_audit, null_zero_counts, season_backlog
-from hardwood.operators.constraints import align, fill_defaults
+from hardwood.operators.constraints import align, check_unique, fill_defaults
 from hardwood.operators.delta import INSERTED, UNCHANGED, known_rows, newer_than_target
 from hardwood.operators.latest import STAMP
-from hardwood.operators.publish import overwrite_partitions, publish_changes, refresh_unless_empty, replace_whole
+from hardwood.operators.publish import commit, finish_pending, publish_changes, refresh_unless_empty, replace_whole
 from hardwood.operators.quality import comment, quality, text_lengths
 from hardwood.operators.scd2 import advance, classify
-from hardwood.operators.snapshot import describe_deleted, rows_to_append, snapshot_status
+from hardwood.operators.snapshot import deleted_keys, rows_to_append, snapshot_status
 from hardwood.operators.surrogate import assign_ids
 from hardwood.operators.upsert import upsert
 from hardwood.plans import dimensions, facts, marts
-from hardwood.session import materialize, prepare
+from hardwood.session import materialize, prepare, scratch_run, together
 from hardwood.sources import extracts, shot_csv, stage
 
 # Closed versions lie in one partition per run, the running ones in this one.
@@ -98,8 +98,10 @@ def sync_static(wh: Warehouse, table: t.StageTable, source: DataFrame, run_at: d
 
     An empty source changes nothing; an empty stage takes every row; tables
     marked ``load_once`` are then left alone; the others get new and changed
-    rows as new versions. Keys gone from the source are reported, never removed.
+    rows as new versions. Keys gone from the source are all stored below
+    ``tech/deleted_keys``, never removed. The source is read once, into a staged copy.
     """
+    source = materialize(source, f"source-{table.name}")
     if source.isEmpty():
         return LoadResult(table.name, "SYNC")
     remarks, n_rows = _inspect(source, table)
@@ -117,7 +119,9 @@ def sync_static(wh: Warehouse, table: t.StageTable, source: DataFrame, run_at: d
     if counts.get("new", 0) + counts.get("changed", 0):
         stage.append(rows_to_append(classified), path, run_at)
     if counts.get("deleted"):
-        remarks = f"{remarks}; {describe_deleted(classified, table.key)}"
+        gone = f'{wh.path("tech", "deleted_keys")}/{table.name}/run={_run_name(run_at)}'
+        deleted_keys(classified, table.key).write.mode("overwrite").parquet(gone)
+        remarks = f"{remarks}; {counts['deleted']} deleted keys, listed in {gone}"
     return LoadResult(table.name, "SYNC", counts, remarks)
 
 
@@ -133,6 +137,7 @@ def _inspect(rows: DataFrame, table: t.StageTable) -> tuple[str, int]:
 
 
 def _load_season(wh: Warehouse, table: t.StageTable, rows: DataFrame, year: int, run_at: dt.datetime) -> LoadResult:
+    rows = materialize(rows, f"source-{table.name}")
     remarks, n_rows = _inspect(rows, table)
     if n_rows:
         stage.replace_season(rows, wh.path("stage", table.name), year, run_at)
@@ -150,7 +155,8 @@ def load_line_scores(wh: Warehouse, extract: DataFrame, year: int, run_at: dt.da
 
 
 def load_shots(wh: Warehouse, csv_path: str, year: int, run_at: dt.datetime) -> LoadResult:
-    raw = shot_csv.one_season(shot_csv.read_shots(wh.spark, csv_path), year)
+    # The file is parsed once; checks, rejects and the write read the staged rows.
+    raw = materialize(shot_csv.one_season(shot_csv.read_shots(wh.spark, csv_path), year), "source-shots")
     remarks, n_rows = _inspect(raw, t.SHOT_DATA)
     cleaned = shot_csv.clean_shots(raw)
     skipped = shot_csv.rejected_rows(cleaned).count()
@@ -168,14 +174,16 @@ def load_shots(wh: Warehouse, csv_path: str, year: int, run_at: dt.datetime) ->
 
 @dataclass(frozen=True)
 class IdWatch:
-    """Id columns whose NULLs are counted in a delta and whose ``0`` sentinels are counted in its stage rows."""
+    """Id columns whose NULLs are counted in the parsed rows, those that are then rejected included, and whose ``0``
+    sentinels are counted in the stage rows."""
 
     null_columns: tuple[str, ...]
     stage_rows: DataFrame
     zero_columns: tuple[str, ...]
+    parsed: DataFrame
 
-    def remarks(self, delta: DataFrame) -> str:
-        counted = null_zero_counts(delta, self.null_columns, self.stage_rows, self.zero_columns)
+    def remarks(self) -> str:
+        counted = null_zero_counts(self.parsed, self.null_columns, self.stage_rows, self.zero_columns)
         return ", ".join(f"{row.check}: {row.n_rows}" for row in counted.collect())
 
 
@@ -188,6 +196,7 @@ def load_upsert(
     changes are staged once, and counts, ids and the write all read that copy.
     """
     path = wh.path("dds", table.name)
+    finish_pending(wh.spark, path)
     target = wh.table(table)
     kept = [name for name in (table.surrogate, table.partition) if name]
     if stage.path_exists(wh.spark, path):
@@ -212,7 +221,7 @@ def load_upsert(
         else:
             replace_whole(upsert(target, changes, table.key, table.nullable_key), path, table.key, table.name)
     counts[UNCHANGED] = staged.count() - sum(counts.values()) if staged else 0
-    return LoadResult(table.name, "UPSERT", counts, watch.remarks(changes) if watch else "")
+    return LoadResult(table.name, "UPSERT", counts, watch.remarks() if watch else "")
 
 
 def load_history(
@@ -220,11 +229,11 @@ def load_history(
 ) -> LoadResult:
     """Merge one newest row per key into a type-2 dimension.
 
-    One write replaces the partition of running versions and adds one of those
-    just closed. Versions closed by earlier runs are not touched, and a run
-    repeated after a failure writes the same two partitions again.
+    The partition of running versions is replaced and one of those just closed is added, both or neither (see
+    ``commit``). Versions closed by earlier runs are not touched.
     """
     path = wh.path("dds", table.name)
+    finish_pending(wh.spark, path)
     stored = wh.table(table)
     active = stored.where(F.col("is_active"))
     classified = materialize(
@@ -237,8 +246,10 @@ def load_history(
         opened = assign_ids(step.opened, table.key, table.surrogate, last)
         running = step.untouched.unionByName(opened).withColumn("closed_by", F.lit(RUNNING))
         closed = step.closed.withColumn("closed_by", F.lit(_run_name(run_at)))
-        overwrite_partitions(running.unionByName(closed), path, ["is_active", "closed_by"])
-    return LoadResult(table.name, "SCD2", counts, watch.remarks(classified) if watch else "")
+        versions = materialize(running.unionByName(closed), f"versions-{table.name}")
+        check_unique(versions.where("is_active"), table.key, table.name)
+        commit(versions, path, ["is_active", "closed_by"])
+    return LoadResult(table.name, "SCD2", counts, watch.remarks() if watch else "")
 
 
 def store_rejects(wh: Warehouse, name: str, classified: DataFrame, run_at: dt.datetime) -> int:
@@ -249,43 +260,52 @@ def store_rejects(wh: Warehouse, name: str, classified: DataFrame, run_at: dt.da
 
 
 def load_dds(wh: Warehouse, run_at: dt.datetime, season: int | None = None) -> list[LoadResult]:
-    """All dimensions, then both facts. With ``season`` the season tables are read from that partition alone."""
+    """All dimensions, then both facts. With ``season`` the season tables are read from that partition alone.
+
+    Loads that don't need each other run at the same time. What is parsed is
+    written once with its reason of refusal; candidates, rejects and the id watch read that copy.
+    """
     games = wh.stage_table(t.GAME, season)
     shots = wh.stage_shots(season)
-    players = wh.stage_table(t.COMMON_PLAYER_INFO)
+    teams, players = wh.stage_table(t.TEAM), wh.stage_table(t.COMMON_PLAYER_INFO)
     # Id columns watched per table.
     sides = ("team_id_home", "team_id_away")
-    watch = {
-        t.DIM_PLAYER: IdWatch(("team_id",), players, ("team_id",)),
-        t.DIM_GAME: IdWatch(("home_team_id", "away_team_id"), games, sides),
-        t.FACT_SHOTS: IdWatch(("team_id",), shots, ("team_id",)),
-        t.FACT_GAMES: IdWatch(("team_id",), games, sides),
-    }
-    results = [
-        load_upsert(wh, t.DIM_TIME, dimensions.dim_time(shots, games)),
-        load_upsert(wh, t.DIM_ZONE, dimensions.dim_zone(shots)),
-        load_history(
-            wh, t.DIM_TEAM, dimensions.dim_team(wh.stage_table(t.TEAM), wh.stage_table(t.TEAM_DETAILS)), run_at
-        ),
-        load_history(wh, t.DIM_PLAYER, dimensions.dim_player(players), run_at, watch[t.DIM_PLAYER]),
-        _with_rejects(
-            wh, load_upsert(wh, t.DIM_GAME, dimensions.dim_game(games), watch[t.DIM_GAME]),
-            dimensions.classify_games(games), run_at,
-        ),
-    ]
+
+    def team() -> LoadResult:
+        result = load_history(wh, t.DIM_TEAM, dimensions.dim_team(teams, wh.stage_table(t.TEAM_DETAILS)), run_at)
+        return _with_rejects(wh, result, dimensions.unusable(teams, "id"), run_at)
+
+    def player() -> LoadResult:
+        found = materialize(dimensions.dim_player(players), "players")
+        watch = IdWatch(("team_id",), players, ("team_id",), found)
+        return _with_rejects(
+            wh, load_history(wh, t.DIM_PLAYER, found, run_at, watch), dimensions.unusable(players, "person_id"), run_at
+        )
+
+    def game() -> LoadResult:
+        classified = materialize(dimensions.classify_games(games), "classified-games")
+        watch = IdWatch(("home_team_id", "away_team_id"), games, sides, classified)
+        return _with_rejects(wh, load_upsert(wh, t.DIM_GAME, dimensions.newest_games(classified), watch), classified, run_at)
+
+    results = together(
+        lambda: load_upsert(wh, t.DIM_TIME, dimensions.dim_time(shots, games)),
+        lambda: load_upsert(wh, t.DIM_ZONE, dimensions.dim_zone(shots)),
+        team, player, game,
+    )
     times, zones = wh.table(t.DIM_TIME), wh.table(t.DIM_ZONE)
-    results.append(_with_rejects(
-        wh, load_upsert(wh, t.FACT_SHOTS, facts.fact_shots(shots, zones, times), watch[t.FACT_SHOTS]),
-        facts.classify_shots(shots, zones, times), run_at,
-    ))
-    results.append(_with_rejects(
-        wh,
-        load_upsert(
-            wh, t.FACT_GAMES, facts.fact_games(games, wh.stage_table(t.OTHER_STATS), times), watch[t.FACT_GAMES]
-        ),
-        facts.classify_game_sides(games, times), run_at,
-    ))
-    return results
+
+    def shot_facts() -> LoadResult:
+        classified = materialize(facts.classify_shots(shots, zones, times), "classified-shots")
+        watch = IdWatch(("team_id",), shots, ("team_id",), classified)
+        return _with_rejects(wh, load_upsert(wh, t.FACT_SHOTS, facts.newest_shots(classified), watch), classified, run_at)
+
+    def game_facts() -> LoadResult:
+        classified = materialize(facts.classify_game_sides(games, times), "classified-sides")
+        watch = IdWatch(("team_id",), games, sides, classified)
+        newest = facts.newest_sides(classified, wh.stage_table(t.OTHER_STATS))
+        return _with_rejects(wh, load_upsert(wh, t.FACT_GAMES, newest, watch), classified, run_at)
+
+    return results + together(shot_facts, game_facts)
 
 
 def _with_rejects(wh: Warehouse, result: LoadResult, classified: DataFrame, run_at: dt.datetime) -> LoadResult:
@@ -343,17 +363,18 @@ def run_season(
 ) -> list[LoadResult]:
     """One full round for one season: static tables, season loads, warehouse, marts."""
     wh = Warehouse(prepare(spark), root)
-    results = [
-        sync_static(wh, table, extracts.as_declared(static[table.name], table), run_at)
-        for table in t.STATIC_TABLES if table.name in static
-    ]
-    results += [
-        load_games(wh, games, year, run_at),
-        load_line_scores(wh, line_scores, year, run_at),
-        load_shots(wh, shots_csv, year, run_at),
-    ]
-    results += load_dds(wh, run_at, year) + load_marts(wh, run_at)
-    log_results(wh, results, run_at, year)
+    with scratch_run(lambda path: stage.delete_path(spark, path)):
+        results = together(*(
+            lambda table=table: sync_static(wh, table, extracts.as_declared(static[table.name], table), run_at)
+            for table in t.STATIC_TABLES if table.name in static
+        ))
+        results += together(
+            lambda: load_games(wh, games, year, run_at),
+            lambda: load_line_scores(wh, line_scores, year, run_at),
+            lambda: load_shots(wh, shots_csv, year, run_at),
+        )
+        results += load_dds(wh, run_at, year) + load_marts(wh, run_at)
+        log_results(wh, results, run_at, year)
     return results
 
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,8 +48,8 @@ def local_session(cores: str = "*", partitions: int = 8) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster such a
-    folder would exist on one machine alone.
+    Only a local master, as in tests, may do without it: on a cluster a temporary
+    folder would exist on one machine alone, and leaving the setting out is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -58,9 +62,38 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_opened: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("opened", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; deleted at the end of the ``scratch_run`` it is asked for in."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if (opened := _opened.get()) is not None:
+        opened.append(path)
+    return path
+
+
+@contextmanager
+def scratch_run(delete: Callable[[str], None]) -> Iterator[None]:
+    """Delete what was staged inside, at the end, when its consumers have committed."""
+    opened: list[str] = []
+    token = _opened.set(opened)
+    try:
+        yield
+    finally:
+        _opened.reset(token)
+        for path in opened:
+            delete(path)
+
+
+Result = TypeVar("Result")
+
+
+def together(*jobs: Callable[[], Result]) -> list[Result]:
+    """Independent Spark jobs submitted from threads of one session; their results in order."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        running = [pool.submit(contextvars.copy_context().run, job) for job in jobs]
+        return [job.result() for job in running]
 
 
 def materialize(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:

@@ -33,6 +33,8 @@ def read_shots(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(schema.add(CORRUPT, T.StringType()))
         .option("header", True)
         .option("mode", "PERMISSIVE")
+        # A file of the folder whose header differs raises, instead of being read by position.
+        .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )

@@ -25,11 +25,11 @@ def append(df: DataFrame, path: str, run_at: dt.datetime) -> None:
 
 
 def replace_season(df: DataFrame, path: str, year: int, run_at: dt.datetime) -> None:
-    """Write one season's partition; loading a season again replaces it."""
+    """Write one season's partition; loading a season again replaces it. Rebalanced by size alone: all rows share the season."""
     (
         stamped(df, run_at)
         .withColumn("season", F.lit(year))
-        .hint("rebalance", "season")
+        .hint("rebalance")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("season")

@@ -1,6 +1,7 @@
 """Column functions on hand-made values."""
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
@@ -37,7 +38,8 @@ def test_dates_booleans_sentinels_seasons(frame):
     assert column(frame, ["TRUE", "True", "False", "maybe", None], "string", c.truth) == [
         True, True, False, False, False]
     assert column(frame, ["0", "10", None], "string", c.without_sentinel) == [None, "10", None]
-    assert column(frame, ["22010", "2x", None], "string", c.season_year) == [2010, None, None]
+    long = "2" + "0" * 30 + "2010"
+    assert column(frame, ["22010", "2x", None, long, long + "x"], "string", c.season_year) == [2010, None, None, 2010, None]
     assert column(frame, [2010, None], "int", c.season_label) == ["2010-2011", None]
     assert column(frame, [1.5, float("nan"), None], "double", c.finite) == [1.5, None, None]
 
@@ -61,3 +63,17 @@ def test_row_hash_sees_content_not_format(frame):
     assert a == b
     text, number = hashes(frame, [("180.90",)], "x string", ["x"]) + hashes(frame, [(180.9,)], "x double")
     assert text == number
+
+
+def test_row_hash_keeps_every_digit_of_numbers(frame):
+    for kind, numeric, values in (
+        ("string", ["x"], ["0.12345678901", "0.12345678902", "1e-12", "0", "1" * 45, "1" * 44 + "2", "-1", "1.5", "1.50e3"]),
+        ("double", (), [0.12345678901, 0.12345678902, 1e-12, 0.0, 1e300, 1e299, -1.0, 1.5, 1500.0]),
+    ):
+        assert len(set(hashes(frame, [(v,) for v in values], f"x {kind}", numeric))) == len(values)
+    same = [("1949",), ("1949.",), ("+1949.00",), ("01949",), ("1949e0",), ("1949E+00",)]
+    assert len(set(hashes(frame, same, "x string", ["x"]))) == 1
+    assert len(set(hashes(frame, [("0",), ("-0.0",), ("0e7",), (".0",), ("00",)], "x string", ["x"]))) == 1
+    assert len(set(hashes(frame, [(".5",), ("0.5",), ("0.50",)], "x string", ["x"]))) == 1
+    wide = [Decimal("9" * 38), Decimal("9" * 37 + "8"), None]
+    assert len(set(hashes(frame, [(v,) for v in wide], "x decimal(38,0)"))) == 3

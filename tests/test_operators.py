@@ -10,10 +10,11 @@ from hardwood.operators.audit import load_audit, null_zero_counts, season_backlo
 from hardwood.operators.constraints import DuplicateKeyError, align, check_unique, fill_defaults, missing_required
 from hardwood.operators.delta import known_rows, newer_than_target
 from hardwood.operators.latest import latest, latest_of_few
+from hardwood.operators import publish
 from hardwood.operators.publish import refresh_unless_empty
 from hardwood.operators.quality import MissingColumnsError, comment, quality, text_lengths
-from hardwood.operators.scd2 import advance, classify
-from hardwood.operators.snapshot import deleted_keys, describe_deleted, rows_to_append, snapshot_status
+from hardwood.operators.scd2 import advance, classify, history_of
+from hardwood.operators.snapshot import deleted_keys, rows_to_append, snapshot_status
 from hardwood.operators.surrogate import assign_ids
 from hardwood.operators.upsert import upsert
 from hardwood.session import materialize
@@ -49,13 +50,15 @@ def test_delta_keeps_absent_and_newer_keys(frame):
     assert rows(delta, "k", "v", "known_v", "status") == [("b", "new", "x", "updated"), ("c", "abs", None, "inserted")]
 
 
-@pytest.mark.parametrize("small_rows", [0, 100])
-def test_known_rows_with_and_without_broadcast(frame, small_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_known_rows_with_and_without_broadcast(frame, spark, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     target = frame([("a", None, "x", DAY[1]), ("z", 1, "x", DAY[1])], ROW)
     candidates = frame([("a", None, "y", DAY[2]), ("b", 1, "y", DAY[2])], ROW)
-    known = known_rows(candidates, target, ["k", "q"], ["v", "load_timestamp"], ["q"], small_rows)
+    known = known_rows(candidates, target, ["k", "q"], ["v", "load_timestamp"], ["q"])
     delta = newer_than_target(candidates, known, ["k", "q"], carry=["v"], nullable=["q"])
     assert rows(delta, "k", "known_v", "status") == [("a", "x", "updated"), ("b", None, "inserted")]
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_upsert_over_random_batches_is_the_newest_row_per_key(frame, spark):
@@ -146,7 +149,6 @@ def test_snapshot_compares_with_the_latest_version_only(frame):
     assert rows(load_audit(status), "status", "n_rows") == [
         ("changed", 1), ("deleted", 1), ("new", 2), ("unchanged", 1)]
     assert rows(deleted_keys(status, ["k"]), "description") == [("k:gone",)]
-    assert describe_deleted(status, ["k"]) == "Deleted keys: 1 [k:gone]"
     appended = rows_to_append(status).withColumn("load_timestamp", F.lit(DAY[2]).cast("timestamp_ntz"))
     again = snapshot_status(source, stage.unionByName(appended), ["k"], ["k", "v"])
     assert rows_to_append(again).isEmpty()
@@ -190,10 +192,52 @@ def test_an_empty_mart_leaves_the_old_one(frame, spark, tmp_path):
     df = frame([("a", 1)], "k string, v int")
     assert refresh_unless_empty(df, path, ["k"], "m") == 1
     assert refresh_unless_empty(df.where("v > 1"), path, ["k"], "m") == 0
-    assert rows(spark.read.parquet(path), "*") == [("a", 1)]
+    assert rows(spark.read.parquet(path), "k", "v") == [("a", 1)]
     with pytest.raises(DuplicateKeyError):
         refresh_unless_empty(df.unionByName(df), path, ["k"], "m")
-    assert rows(spark.read.parquet(path), "*") == [("a", 1)]
+    assert rows(spark.read.parquet(path), "k", "v") == [("a", 1)]
+
+
+def test_history_of_a_backlog_is_what_its_batches_give_one_by_one(frame):
+    random.seed(5)
+    batches = [[(random.choice("abcd"), random.choice(["x", "y", None]), DAY[3 * b + random.randrange(3)]) for _ in range(6)]
+               for b in range(5)]
+    got, _ = step_through(frame, batches)
+    schema = "b int, k string, v string, load_timestamp timestamp_ntz"
+    backlog = latest(frame([(b, *row) for b, batch in enumerate(batches) for row in batch], schema), ["b", "k"]).drop("b")
+    assert rows(history_of(backlog, ["k"], ["v"]), "k", "v", "valid_from", "valid_to", "is_active") == sorted(
+        [(r[0], r[1], r[3], r[4], r[5]) for r in got], key=str)
+
+
+@pytest.mark.parametrize("stop", ["rows", "emptied", "ready", "exchange"])
+def test_an_interrupted_exchange_is_completed_or_left_out(frame, spark, tmp_path, monkeypatch, stop):
+    path = str(tmp_path / "t")
+    publish.commit(frame([("a", 1), ("b", 2)], "k string, p int"), path, ["p"])
+    after = frame([("a", 2), ("b", 2)], "k string, p int")
+
+    class Stopped(Exception):
+        pass
+
+    def stopped(*args):
+        raise Stopped
+
+    if stop == "ready":
+        monkeypatch.setattr(publish, "finish_pending", stopped)
+    elif stop == "exchange":
+        whole = publish.overwrite_partitions
+        monkeypatch.setattr(publish, "overwrite_partitions", lambda *a: (whole(*a), stopped()))
+    else:
+        calls = iter(range(9))
+        exists = {"rows": 0, "emptied": 1}[stop]
+        create = spark.createDataFrame
+        monkeypatch.setattr(type(spark), "createDataFrame", lambda self, *a, **b: stopped() if next(calls) == exists else create(*a, **b))
+    with pytest.raises(Stopped):
+        publish.commit(after, path, ["p"], ["p=1"])
+    monkeypatch.undo()
+    done = publish.finish_pending(spark, path)
+    assert done == (stop in ("ready", "exchange"))
+    assert rows(spark.read.parquet(path), "k", "p") == ([("a", 2), ("b", 2)] if done else [("a", 1), ("b", 2)])
+    assert not publish.path_exists(spark, publish._pending(path)) and not publish.finish_pending(spark, path)
 
 
 # ----------------------------------------------------------------- quality
@@ -215,8 +259,8 @@ def test_quality_report_counts_and_comment(frame):
         ("missing", "id"): 1, ("missing", "team"): 1, ("format", "n"): 1, ("format", "id"): 2, ("format", "b"): 2,
         ("business_rule", "n"): 1, ("business_rule", "y"): 2, ("duplicate", "id"): 2,
     }
-    assert comment(report.collect()) == (
-        "Missing values: id: 1, team: 1; Duplicates (id): 2; Format issues: 5; Business rule issues: 3")
+    remark = comment(report.collect())
+    assert all(part in remark for part in ("missing id=1", "missing team=1", "duplicate id=2", "format b=2", "business_rule y=2"))
     assert {r.n_rows for r in report.collect()} == {4}
     with pytest.raises(MissingColumnsError):
         quality(df.drop("team"), rules, "demo")

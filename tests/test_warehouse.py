@@ -1,6 +1,7 @@
 """Whole rounds over small hand-made extracts."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,6 +107,11 @@ def test_a_season_its_rerun_and_a_reload_with_changes(spark, tmp_path, sources):
     assert done["fact_games"]["inserted"] == 5 and done["fact_games"]["rejected"] == 3
     reasons = spark.read.parquet(wh.path("rejects", "fact_shots")).groupBy("reason").count().collect()
     assert {r.reason: r["count"] for r in reasons} == {"missing_team": 1, "no_zone": 1}
+    remarks = {r.object_name: r.remarks for r in spark.read.parquet(wh.path("tech", "load_audit")).collect()}
+    assert remarks["fact_shots"] == "null_ids: 1, zero_ids: 1" and remarks["dim_game"].startswith("null_ids: 1")
+    if spark.sparkContext.getCheckpointDir():
+        left = [p for p in Path(spark.sparkContext.getCheckpointDir().removeprefix("file:")).iterdir() if p.name.startswith("source-")]
+        assert not left  # what a run staged is gone when it ends
 
     player = wh.table(t.DIM_PLAYER).orderBy("business_key").collect()
     assert [(p.business_key, p.full_name, p.team_id) for p in player] == [("7", "Al One", 10), ("8", None, None)]
@@ -136,7 +142,7 @@ def test_a_season_its_rerun_and_a_reload_with_changes(spark, tmp_path, sources):
     done = counts(w.run_season(spark, root, 2010, RUN_2, **changed))
     assert done["team"] == {"changed": 1, "new": 1, "deleted": 1}
     assert done["common_player_info"] == {}
-    assert done["dim_team"] == {"updated": 1, "inserted": 1}
+    assert done["dim_team"] == {"updated": 1, "inserted": 1, "rejected": 0}
     assert done["fact_shots"] == {"updated": 1, "inserted": 1, "unchanged": 0, "rejected": 0}
     shots = {(r.game_id, r.secs_left): r for r in wh.table(t.FACT_SHOTS).collect()}
     assert len(shots) == 4  # keys the reload no longer has stay in the warehouse
@@ -198,12 +204,14 @@ def test_sync_modes_and_repeat(spark, tmp_path):
     assert w.sync_static(wh, t.TEAM, second, RUN_2).counts == {"unchanged": 1, "changed": 1}
     assert w.sync_static(wh, t.TEAM, second, RUN_3).counts == {"unchanged": 2}
     gone = w.sync_static(wh, t.TEAM, teams(("1", "a", "1949")), RUN_3)
-    assert gone.counts == {"unchanged": 1, "deleted": 1} and "Deleted keys: 1 [id:2]" in gone.remarks
+    assert gone.counts == {"unchanged": 1, "deleted": 1} and "1 deleted keys" in gone.remarks
+    listed = spark.read.parquet(wh.path("tech", "deleted_keys") + "/team").collect()
+    assert [(row.id, row.description) for row in listed] == [("2", "id:2")]
     assert wh.stage_table(t.TEAM).count() == 3
     once = extract(spark, t.DRAFT_COMBINE_STATS, [{"season": "2010", "player_id": "1", "weight": "-1"}])
     assert w.sync_static(wh, t.DRAFT_COMBINE_STATS, once, RUN_1).mode == "FULL_LOAD"
     skipped = w.sync_static(wh, t.DRAFT_COMBINE_STATS, once, RUN_2)
-    assert skipped.mode == "SKIPPED" and "Business rule issues: 1" in skipped.remarks
+    assert skipped.mode == "SKIPPED" and "business_rule weight=1" in skipped.remarks
 
 
 def test_backlog(spark, tmp_path):
