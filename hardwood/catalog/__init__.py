@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hardwood.catalog import build_queries, mart_queries, merge_queries, quality_queries, source_queries
+from hardwood.catalog import build_queries, load_queries, mart_queries, merge_queries, quality_queries, source_queries
 from hardwood.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (mart_queries, build_queries, merge_queries, quality_queries, source_queries)
+_MODULES = (mart_queries, build_queries, merge_queries, quality_queries, source_queries, load_queries)
 
 
 def _prepared(query: Query) -> Query:

@@ -13,7 +13,7 @@ from hardwood.operators.constraints import align
 from hardwood.operators.publish import refresh_unless_empty
 from hardwood.plans import dimensions, facts, marts
 from hardwood.plans.warehouse import Warehouse, load_history, load_upsert
-from hardwood.session import scratch_path
+from hardwood.session import scratch_path, together
 
 RUN_AT = dt.datetime(2024, 6, 1)
 
@@ -112,10 +112,12 @@ def season_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage to mart through stored dimensions and facts."""
     wh = Warehouse(spark, scratch_path(spark, "warehouse"))
     shots, games = s.shots(spark, sf_dir), s.games(spark, sf_dir)
-    load_upsert(wh, t.DIM_TIME, dimensions.dim_time(shots, games))
-    load_upsert(wh, t.DIM_ZONE, dimensions.dim_zone(shots))
-    load_history(wh, t.DIM_TEAM, dimensions.dim_team(s.teams(spark, sf_dir), s.team_details(spark, sf_dir)), RUN_AT)
-    load_history(wh, t.DIM_PLAYER, dimensions.dim_player(s.players(spark, sf_dir)), RUN_AT)
+    together(
+        lambda: load_upsert(wh, t.DIM_TIME, dimensions.dim_time(shots, games)),
+        lambda: load_upsert(wh, t.DIM_ZONE, dimensions.dim_zone(shots)),
+        lambda: load_history(wh, t.DIM_TEAM, dimensions.dim_team(s.teams(spark, sf_dir), s.team_details(spark, sf_dir)), RUN_AT),
+        lambda: load_history(wh, t.DIM_PLAYER, dimensions.dim_player(s.players(spark, sf_dir)), RUN_AT),
+    )
     zones, times = wh.table(t.DIM_ZONE), wh.table(t.DIM_TIME)
     load_upsert(wh, t.FACT_SHOTS, facts.fact_shots(shots, zones, times))
     mart = marts.player_shot_efficiency(

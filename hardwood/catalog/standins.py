@@ -70,20 +70,21 @@ SHOTS = """
 """
 
 
-# Stage role of games: several stored versions per game, some ids padded and some malformed.
+# Stage role of games between nations: several stored versions per game, some ids padded and some malformed.
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = _text("l_orderkey")
     status_o = F.col("l_linestatus") == "O"
     whole = F.col("l_quantity").cast("int")
     hundredths = {name: F.round(F.col(name) * 100).cast("int").cast("string") for name in ("l_discount", "l_tax")}
-    return read(spark, sf_dir, "lineitem").select(
+    nations = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    return read(spark, sf_dir, "lineitem").join(nations, "l_suppkey").select(
         F.concat(F.lit("2"), F.year("l_shipdate").cast("string")).alias("season_id"),
         F.when((F.col("l_returnflag") == "N") & status_o, F.lpad(key, 12, "0"))
         .when((F.col("l_returnflag") == "A") & status_o, F.concat(key, F.lit("x")))
         .otherwise(key).alias("game_id"),
         F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(" 00:00:00")).alias("game_date"),
-        _text("l_suppkey").alias("team_id_home"),
-        _text("l_partkey").alias("team_id_away"),
+        _text("s_nationkey").alias("team_id_home"),
+        (F.col("l_partkey") % 25).cast("string").alias("team_id_away"),
         F.concat(F.lit("S"), _text("l_suppkey"), F.lit(" vs. P"), _text("l_partkey")).alias("matchup_home"),
         _text("l_quantity").alias("pts_home"), (F.col("l_linenumber") * 10).cast("string").alias("pts_away"),
         _text("l_linenumber").alias("fgm_home"), hundredths["l_discount"].alias("fgm_away"),
@@ -100,7 +101,7 @@ GAMES = """
                 WHEN l_returnflag = 'A' AND l_linestatus = 'O' THEN concat(l_orderkey, 'x')
                 ELSE CAST(l_orderkey AS VARCHAR) END AS game_id,
            CAST(l_shipdate AS DATE) AS game_date,
-           CAST(l_suppkey AS VARCHAR) AS team_id_home, CAST(l_partkey AS VARCHAR) AS team_id_away,
+           CAST(s_nationkey AS VARCHAR) AS team_id_home, CAST(l_partkey % 25 AS VARCHAR) AS team_id_away,
            concat('S', l_suppkey, ' vs. P', l_partkey) AS matchup_home,
            CAST(l_quantity AS INTEGER) AS pts_home, l_linenumber * 10 AS pts_away,
            l_linenumber AS fgm_home, CAST(round(l_discount * 100) AS INTEGER) AS fgm_away,
@@ -108,7 +109,7 @@ GAMES = """
            CAST(round(l_tax * 100) AS INTEGER) AS fg3m_home, l_linenumber AS fg3m_away,
            CAST(l_quantity AS INTEGER) AS fg3a_home, CAST(l_quantity AS INTEGER) + 7 AS fg3a_away,
            l_shipdate AS load_timestamp
-    FROM lineitem
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
 """
 
 
