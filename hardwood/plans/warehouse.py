@@ -187,6 +187,20 @@ class IdWatch:
         return ", ".join(f"{row.check}: {row.n_rows}" for row in counted.collect())
 
 
+def _last_id(wh: Warehouse, table: t.WarehouseTable, target: DataFrame) -> int:
+    """The highest id given out: from the stored mark, or from the table where none is stored."""
+    path = wh.path("tech", f"last_id/{table.name}")
+    if stage.path_exists(wh.spark, f"{path}/_SUCCESS"):
+        return wh.spark.read.schema("last_id long").parquet(path).first()[0]
+    return target.agg(F.max(table.surrogate)).first()[0] or 0
+
+
+def _reserve_ids(wh: Warehouse, table: t.WarehouseTable, last: int) -> None:
+    """Store the mark before rows with the new ids are published: a run that dies between leaves a gap, never an id twice."""
+    rows = wh.spark.createDataFrame([(last,)], "last_id long").coalesce(1)
+    rows.write.mode("overwrite").parquet(wh.path("tech", f"last_id/{table.name}"))
+
+
 def load_upsert(
     wh: Warehouse, table: t.WarehouseTable, candidates: DataFrame, watch: IdWatch | None = None
 ) -> LoadResult:
@@ -210,12 +224,14 @@ def load_upsert(
             "status": F.lit(INSERTED),
         })
     if table.surrogate:
-        last = target.agg(F.max(table.surrogate)).first()[0] or 0
+        last = _last_id(wh, table, target)
         changes = assign_ids(changes, table.key, table.surrogate, last, known=f"known_{table.surrogate}")
     else:
         changes = materialize(changes, f"changes-{table.name}")
     counts = _counts(changes)
     if counts:
+        if table.surrogate and counts.get(INSERTED):
+            _reserve_ids(wh, table, last + counts[INSERTED])
         if table.partition:
             publish_changes(target, changes, path, table.partition, table.key, table.nullable_key)
         else:
@@ -242,8 +258,9 @@ def load_history(
     counts = _counts(classified)
     if set(counts) - {UNCHANGED}:
         step = advance(active, classified, table.key, table.attributes)
-        last = stored.agg(F.max(table.surrogate)).first()[0] or 0
+        last = _last_id(wh, table, stored)
         opened = assign_ids(step.opened, table.key, table.surrogate, last)
+        _reserve_ids(wh, table, last + sum(n for status, n in counts.items() if status != UNCHANGED))
         running = step.untouched.unionByName(opened).withColumn("closed_by", F.lit(RUNNING))
         closed = step.closed.withColumn("closed_by", F.lit(_run_name(run_at)))
         versions = materialize(running.unionByName(closed), f"versions-{table.name}")
