@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.llm.common import staged
 
+#: Places that sampled rows are dealt to; parts of a sample are ranges or remainders of places.
+PLACES = 1 << 20
+_RANGE = 1 << 40
 
-def labelled_sample(labels: DataFrame, id_name: str, label: Column, per_class: int, first: int = 0) -> DataFrame:
-    """doc_id and label of at most ``per_class`` rows of each label, those whose ids hash lowest.
 
-    Rows without id or label are left out, and ids with several labels count once, with the least. ``first`` skips as
-    many rows of each label, which makes samples that share no row.
+def labelled_sample(labels: DataFrame, id_name: str, label: Column, per_class: int) -> DataFrame:
+    """doc_id, label and place of about ``per_class`` rows of each label (all, if there are no more), chosen by a hash of the id.
+
+    A label with n rows keeps those in the lowest ``per_class`` / n of the hash's range, so no task gathers a label's
+    rows; the number kept is binomial, and twice ``per_class`` is out of reach for the hundreds used here. ``place`` is a second hash.
+    Rows without id or label are left out, and ids with several labels count once, with the least.
     """
     rows = labels.select(F.col(id_name).alias("doc_id"), label.alias("label")).dropna()
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    one = rows.groupBy("doc_id").agg(F.min("label").alias("label"))
-    return one.withColumn("place", F.row_number().over(order)).filter(
-        F.col("place").between(first + 1, first + per_class)
-    ).select("doc_id", "label", "place")
+    one = staged(rows.groupBy("doc_id").agg(F.min("label").alias("label")), "labelled")
+    counts = staged(one.groupBy(F.col("label").alias("of_label")).agg(F.count("*").alias("n")), "label_counts")
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(_RANGE))
+    return one.join(counts, F.col("label") == F.col("of_label")).filter(draw.cast("double") * F.col("n") < F.lit(per_class) * F.lit(_RANGE).cast("double")).select(
+        "doc_id", "label", F.pmod(F.xxhash64("doc_id", F.lit("place")), F.lit(PLACES)).cast("int").alias("place")
+    )
 
 
 def with_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
