@@ -6,7 +6,9 @@ operator selects the columns it needs by name and returns only its own ones.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,8 +24,15 @@ BATCH_ROWS = 512
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """The session with the settings the operators rely on."""
+    """The session with the settings the operators rely on.
+
+    Python workers find this package where the driver found it; a cluster without that folder is given it by ``--py-files``.
+    """
     prepare(spark)
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark
 

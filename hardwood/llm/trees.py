@@ -105,10 +105,12 @@ def isotonic(margin: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """
     if len(np.unique(y)) < 2:
         return None
-    order = np.argsort(margin, kind="stable")
+    # Rows of equal margin are one pool from the start.
+    level, of = np.unique(margin, return_inverse=True)
+    rows, ones = np.bincount(of), np.bincount(of, y)
     pools: list[list[float]] = []  # sum of labels, rows, sum of margins
-    for m, label in zip(margin[order], y[order]):
-        pools.append([float(label), 1.0, float(m)])
+    for m, n, label in zip(level.tolist(), rows.tolist(), ones.tolist()):
+        pools.append([label, float(n), m * n])
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last)]
