@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hardwood.llm import exact_dedup, mixing, pieces, simhash, toxicity
-from hardwood.llm.common import ready, staged, table
+from hardwood.llm.common import ready, table
 from hardwood.llm.queries import LEAST_COPIES, MIX_WEIGHTS, domains, learnable, tokenizer_file
+from hardwood.session import scratch_path, scratch_run
+from hardwood.sources.stage import delete_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +57,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written and read again before the next."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; what a stage returns is written and read again before the next.
+
+    Once a stage's rows are written, what it staged on the way is deleted, and so are the rows of the stage before.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_run(lambda p: delete_path(spark, p)):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

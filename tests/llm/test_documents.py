@@ -161,8 +161,12 @@ def test_links_are_all_pairs_within_four_bits(spark):
     expected = {
         (min(a, b), max(a, b)) for i, a in enumerate(signed) for b in signed[:i] if ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4
     }
-    found = simhash.links(spark.createDataFrame([(s,) for s in signed], "fp long")).collect()
+    distinct = spark.createDataFrame([(s,) for s in signed], "fp long")
+    found = simhash.links(simhash.postings(distinct)).collect()
     assert sorted(map(tuple, found)) == sorted(expected)  # each once
+    low = dict(zip(signed, brute_components([(s, s & ((1 << 64) - 1)) for s in signed])))
+    roots = dict(map(tuple, simhash.roots_of(distinct).distinct().collect()))
+    assert all(roots.get(s, s) == low[s] for s in signed)
 
 
 def test_components_of_chains_stars_and_nothing(spark):
@@ -327,6 +331,8 @@ def test_trees_learn_and_calibrate():
     margins, labels = np.array([0.0, 1, 2, 3]), np.array([0, 1, 0, 1])
     knots = trees.isotonic(margins, labels)
     assert (np.diff(knots[1]) >= 0).all()
+    tied = trees.isotonic(np.zeros(10), np.array([0] * 8 + [1] * 2))
+    assert np.allclose(tied, [[0], [0.2]])
 
 
 def labelled(spark, texts):
