@@ -9,8 +9,8 @@ single byte. In the join of a posting with itself, the shared positional bytes
 of a pair are tallied; a pair with fewer than four is dropped, as is one that a
 smaller triple has met already (so each pair comes once), and the rest are verified by their differing bits.
 
-Copies share a fingerprint and count as one entry of the index. Linked fingerprints are
-joined to components; each row then takes its fingerprint's component.
+Copies share a fingerprint and count as one entry of the index. Dense groups are joined to stars first, so that only
+pairs still apart are emitted. Linked fingerprints are joined to components; each row then takes its fingerprint's component.
 
 Defined results: a text without words (null, empty, white space) has fingerprint
 zero and is linked like any other; a row with a null id is returned with the
@@ -96,36 +96,66 @@ def _byte(fp: Column, position: int) -> Column:
     return F.shiftrightunsigned(fp, 8 * position).bitwiseAND(F.lit(255))
 
 
-def links(distinct: DataFrame) -> DataFrame:
-    """Pairs a < b of the distinct fingerprints ``fp`` that differ in at most four bits, each once."""
-    fp = F.col("fp")
+def postings(distinct: DataFrame) -> DataFrame:
+    """The index: fp and posting (a triple's number, then its three bytes) of every distinct fingerprint."""
 
     def posting(index: int, triple: tuple[int, int, int]) -> Column:
-        packed = reduce(lambda key, p: F.shiftleft(key, 8).bitwiseOR(_byte(fp, p)), triple, F.lit(index).cast("long"))
-        return packed
+        return reduce(lambda key, p: F.shiftleft(key, 8).bitwiseOR(_byte(F.col("fp"), p)), triple, F.lit(index).cast("long"))
 
-    index = distinct.select("fp", F.explode(F.array(*[posting(i, t) for i, t in enumerate(POSTED)])).alias("posting"))
-    a, b = index.alias("a"), index.alias("b")
-    apart = F.col("a.fp").bitwiseXOR(F.col("b.fp"))
+    return distinct.select("fp", F.explode(F.array(*[posting(i, t) for i, t in enumerate(POSTED)])).alias("posting"))
+
+
+def _near(a: str, b: str, posting: str) -> Column:
+    """Counting, then verification: the pair shares enough positional bytes, differs in few bits, and has not met in a smaller triple."""
+    apart = F.col(a).bitwiseXOR(F.col(b))
     equal = [_byte(apart, p) == 0 for p in range(8)]
     shared = reduce(lambda x, y: x + y, [e.cast("int") for e in equal])
-    # The first triple that the pair shares: only its posting reports the pair.
     first = reduce(
         lambda rest, it: F.when(equal[it[1][0]] & equal[it[1][1]] & equal[it[1][2]], F.lit(it[0])).otherwise(rest),
         reversed(list(enumerate(POSTED))), F.lit(-1),
     )
-    found = (
-        (F.col("a.posting") == F.col("b.posting")) & (F.col("a.fp") < F.col("b.fp")) & (shared >= BYTES_SHARED)
-        & (F.bit_count(apart) <= BITS_APART) & (first == F.shiftright(F.col("a.posting"), 24))
-    )
+    return (shared >= BYTES_SHARED) & (F.bit_count(apart) <= BITS_APART) & (first == F.shiftright(F.col(posting), 24))
+
+
+def links(index: DataFrame) -> DataFrame:
+    """All pairs a < b of the index's fingerprints that differ in at most four bits, each once.
+
+    With a column ``root``, only pairs of different roots, and only postings that hold several are read.
+    """
+    unlike = F.lit(True)
+    if "root" in index.columns:
+        mixed = index.groupBy("posting").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+        index = index.join(mixed.select("posting"), "posting", "left_semi")
+        unlike = F.col("a.root") != F.col("b.root")
+    a, b = index.alias("a"), index.alias("b")
+    found = (F.col("a.posting") == F.col("b.posting")) & (F.col("a.fp") < F.col("b.fp")) & unlike & _near("a.fp", "b.fp", "a.posting")
     return a.join(b, found).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
 
 
+def star_links(index: DataFrame) -> DataFrame:
+    """Links of each posting's fingerprints to its smallest one, where they are near: at most one per entry."""
+    centers = index.groupBy("posting").agg(F.min("fp").alias("center"))
+    near = (F.col("fp") != F.col("center")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("center"))) <= BITS_APART)
+    return index.join(centers, "posting").filter(near).select(F.col("fp").alias("a"), F.col("center").alias("b")).distinct()
+
+
+def roots_of(distinct: DataFrame) -> DataFrame:
+    """node and root of every linked fingerprint of ``distinct``.
+
+    A dense group of near copies would give links by the square of its size. So postings are first joined to
+    stars, and only what is still apart then meets pair by pair; the components are those of all links.
+    """
+    index = postings(distinct)
+    stars = staged(components(star_links(index)), "stars")
+    rooted = index.join(stars, F.col("fp") == F.col("node"), "left").select("fp", "posting", F.coalesce("root", "fp").alias("root"))
+    return components(links(rooted).unionByName(stars.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, row_key, root (a fingerprint, one per component), fingerprint (16 hex digits) and component_id of every row of ``docs``."""
     rows = staged(fingerprints(docs), "fingerprints")
     classes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("low_id"), F.count("*").alias("n")), "classes")
-    roots = components(links(classes.select("fp")))
+    roots = roots_of(classes.select("fp"))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "low_id", "n", F.coalesce("root", "fp").alias("root"))
     low = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"), F.sum("n").alias("n"))
     # Fingerprints of one row alone need no lookup.
