@@ -34,7 +34,7 @@ from hardwood.llm.common import batch_pass
 
 SPACE = "▁"
 #: Cuts remembered per Python worker, and the longest one that is remembered and merged together with others.
-MEMORY, SHORT = 500_000, 48
+MEMORY, SHORT = 250_000, 48
 #: Rank of a pair that makes no piece.
 NO_PAIR = 1 << 30
 

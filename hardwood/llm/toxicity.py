@@ -59,7 +59,7 @@ FEATURES = (
     "digit_rate", "obfuscated_density", "hidden_density", "drawn_density", "mean_word",
 )
 #: Words a worker remembers.
-MEMORY = 300_000
+MEMORY = 150_000
 
 
 def _terms(word: str) -> list[str]:
