@@ -5,8 +5,10 @@ tags and classes. Per node, Spark counts over the host's pages the presentation
 child elements) and the contents (the text of the branch) it takes. The entropy of either, to the base of the number of
 pages, is its importance: 0 if all pages agree, as with a site's notices and menus, 1 if no two do. Nodes whose importance
 (content and presentation, weighted) is below ``LOW`` on ``ENOUGH`` pages or more are cut from each page with all that is
-below them. Pages with the same smallest passage count as one page of a host, so copies of an article don't make it look like
-furniture.
+below them. Copies of an article must not make it look like furniture, so pages with the same text count as one page of their
+host, and so do near copies. What tells near copies is how many of the host's texts hold a passage, counted in Spark: passages on
+most of them are the site's and say nothing; of the rest, a near copy has nearly all on other pages too and goes by the smallest of
+these. A page with nearly nothing besides what most pages hold counts as a copy of the others.
 
 Elements that by their tag, role or class are no article (menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles, comments) go without being counted; where a page marks its article (article, main, role=main), only that is read.
@@ -30,8 +32,8 @@ from pyspark.sql import functions as F
 from hardwood.llm.common import batch_pass, staged
 
 LOW, ENOUGH, CONTENT_WEIGHT = 0.2, 10, 0.9
-#: Passages shorter than this don't tell pages apart.
-TELLING = 20
+#: A near copy has at least NEAR of its text on other pages; a page has text of its own if what most pages of the host hold leaves OWN of it.
+NEAR, OWN = 0.8, 0.1
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)[^>]*(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S
@@ -179,22 +181,24 @@ def node_keys(page: Page, host: str) -> dict[str, int]:
     return {path: (xxh64_intdigest(f"{host}\n{path}") ^ (1 << 63)) - (1 << 63) for path in set(page.path[1:])}
 
 
-def branches(html: str | None, url: str | None) -> list[tuple[int, int, int, int]]:
-    """(node, style, content, page) for each path of a page that holds text, as hashes."""
+def branches(html: str | None, url: str | None) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int, int]]]:
+    """(host, page, node, style, content) for each path of a page that holds text and (host, page, passage, size) for each passage, as hashes."""
     from xxhash import xxh64, xxh64_intdigest
 
     host = host_of(url)
     if not html or not host:
-        return []
+        return [], []
     page = Page(html)
     contents: dict[str, object] = {}
-    telling = []
+    passages: dict[int, int] = {}
+    whole = xxh64(f"{host}\n")
     for element, text in page.texts:
         if text is None or text.isspace() or page.cut[element]:
             continue
         data = " ".join(text.split()).encode()
-        if len(data) >= TELLING:
-            telling.append(xxh64_intdigest(data))
+        passage = xxh64_intdigest(data)
+        passages[passage] = passages.get(passage, 0) + len(data)
+        whole.update(data + b"\n")
         paths, place = set(), element
         while place:
             paths.add(page.path[place])
@@ -206,45 +210,64 @@ def branches(html: str | None, url: str | None) -> list[tuple[int, int, int, int
         children = styles.setdefault(page.path[page.parent[k]], [])
         if not children or children[-1] != page.name[k]:
             children.append(page.name[k])
-    if not contents:
-        return []
-    keys, own = node_keys(page, host), min(telling, default=0)
 
     def signed(value: int) -> int:
         return (value ^ (1 << 63)) - (1 << 63)
 
-    return [
-        (keys[path], signed(xxh64_intdigest(">".join(styles.get(path, [])))), signed(content.intdigest()), signed(own))
-        for path, content in contents.items()
-    ]
+    keys, place = node_keys(page, host), (signed(xxh64_intdigest(host)), signed(whole.intdigest()))
+    return (
+        [(*place, keys[path], signed(xxh64_intdigest(">".join(styles.get(path, [])))), signed(content.intdigest())) for path, content in contents.items()],
+        [(*place, signed(passage), size) for passage, size in passages.items()],
+    )
 
 
 def style_rows(pages: DataFrame) -> DataFrame:
-    """page_id, page_key, node, style, content and page of every branch that is not cut by its name."""
+    """page_key, host and page (its whole text, as a hash), with node, style and content of every branch that is not cut by its name, or passage and size of every passage."""
+    columns = ["page_key", "host", "page", "node", "style", "content", "passage", "size"]
 
     def make():
         def step(batch: pa.RecordBatch):
-            ids, keys, rows = [], [], []
-            for page_id, key, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                found = branches(html, url)
-                ids += [page_id] * len(found)
-                keys += [key] * len(found)
-                rows += found
-            columns = zip(*rows) if rows else [[]] * 4
-            yield pa.record_batch(
-                [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), *(pa.array(c, pa.int64()) for c in columns)],
-                ["page_id", "page_key", "node", "style", "content", "page"],
-            )
+            rows = []
+            for key, url, html in zip(*(c.to_pylist() for c in batch.columns)):
+                nodes, passages = branches(html, url)
+                rows += [(key, *node, None, None) for node in nodes]
+                rows += [(key, host, page, None, None, None, *passage) for host, page, *passage in passages]
+            values = zip(*rows) if rows else [[]] * len(columns)
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in values], columns)
 
         return step
 
-    schema = "page_id long, page_key long, node long, style long, content long, page long"
-    return batch_pass(pages.select("page_id", "page_key", "url", "html"), schema, make)
+    return batch_pass(pages.select("page_key", "url", "html"), ", ".join(f"{c} long" for c in columns), make)
+
+
+def near_copies(rows: DataFrame) -> DataFrame:
+    """page and same_page of the pages that count as copies of others; each text of a host is counted once."""
+    held = staged(rows.filter("size is not null").groupBy("host", "page", "passage").agg(F.max("size").alias("size")), "passages")
+    texts = staged(held.groupBy("host", "page").agg(F.sum("size").alias("whole")), "site_texts")
+    on = held.groupBy("host", "passage").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = staged(
+        on.join(texts.groupBy("host").agg(F.count("*").alias("n_pages")), "host").select("host", "passage", (2 * F.col("n") > F.col("n_pages")).alias("common")),
+        "shared_passages",
+    )
+    sums = held.join(shared, ["host", "passage"]).groupBy("host", "page").agg(
+        F.sum(F.when(F.col("common"), F.col("size")).otherwise(0)).alias("common"),
+        F.sum(F.when(~F.col("common"), F.col("size")).otherwise(0)).alias("met"),
+        F.min(F.when(~F.col("common"), F.col("passage"))).alias("least"),
+    )
+    rest = F.col("whole") - F.col("common")
+    same = F.when(rest < OWN * F.col("whole"), F.col("host")).when(F.col("met") >= NEAR * rest, F.xxhash64("host", "least"))
+    return texts.join(sums, ["host", "page"]).select("page", same.alias("same_page")).dropna()
 
 
 def importance(rows: DataFrame) -> DataFrame:
     """node, pages and importance. All groupings fold before the shuffle; a host's pages never meet in one task."""
-    pages = staged(rows.groupBy("node", "page").agg(F.min("style").alias("style"), F.min("content").alias("content")), "site_pages")
+
+    def folded(found: DataFrame) -> DataFrame:
+        return found.groupBy("node", "page").agg(F.min("style").alias("style"), F.min("content").alias("content"))
+
+    copies = staged(near_copies(rows), "near_copies")
+    texts = folded(rows.filter("node is not null")).join(copies, "page", "left")
+    pages = staged(folded(texts.withColumn("page", F.coalesce("same_page", "page"))), "site_pages")
 
     def agreement(kind: str) -> DataFrame:
         counts = pages.groupBy("node", kind).agg(F.count("*").alias("n"))

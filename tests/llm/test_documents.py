@@ -527,6 +527,30 @@ def test_what_a_site_repeats_is_cut(spark):
     assert same.count() == 4
 
 
+def test_what_pages_share_does_not_make_them_one(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+
+    def told(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    rows = []
+    for host in range(30):  # two own passages and six shared ones: nearly all pages once took the hash of a shared one
+        boxes = [told(8) for _ in range(6)]
+        for i in range(12):
+            own = [told(25), told(25)]
+            strip, text = ("".join(f"<p>{x}</p>" for x in xs) for xs in (boxes, own))
+            rows.append((len(rows), f"http://h{host}.example.com/{i}", f"<body><div class=strip>{strip}</div><div class=text>{text}</div></body>", " ".join(own)))
+    article = told(80)
+    for host, others in (("only", 0), ("mixed", 40)):  # copies but for the time they were read at
+        for i in range(30 + others):
+            text, stamp = article if i < 30 else told(80), f"read at {i}"
+            rows.append((len(rows), f"http://{host}.example.com/{i}", f"<body><div class=text><p>{text}</p></div><div class=time>{stamp}</div></body>", f"{text} {stamp}"))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+
+
 # ------------------------------------------------------------------ helpers
 
 
