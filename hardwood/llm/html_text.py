@@ -44,6 +44,8 @@ HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", re.I)
 # HTML's elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+#: Sought in the page itself: lower-casing a page can change its length.
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split()
 )
@@ -101,7 +103,6 @@ class Page:
 
     def _read(self, html: str) -> None:
         at, here = 0, 0
-        lower = None
         while True:
             found = TOKEN.search(html, at)
             text = html[at : found.start()] if found else html[at:]
@@ -129,11 +130,10 @@ class Page:
                 here = self._implied(tag, here)
             element = self._open(tag, found[3] or "", here)
             if tag in RAW:
-                lower = html.lower() if lower is None else lower
-                close = lower.find("</" + tag, at)
-                if close < 0:
+                close = RAW_END[tag].search(html, at)
+                if not close:
                     return
-                end = html.find(">", close)
+                end = html.find(">", close.end())
                 at = len(html) if end < 0 else end + 1
             elif tag not in VOID and not (found[3] or "").endswith("/"):
                 here = element

@@ -500,6 +500,12 @@ def test_articles_come_out_of_their_pages():
     assert html_text.Page("<p>a</p>" * 30000).blocks() == " ".join("a" * 30000)
 
 
+def test_letters_that_grow_in_lower_case_move_no_end_tag():
+    script = "<SCRIPT>var s = '\u0130</scripted>' + 1 > 0;</Script >"
+    html = f"<title>{'\u0130' * 9}</title><p>{'\u0130' * 40}</p>{script}<p>one</p>{script}<p>two</p><style>p>a{{}}</style>x"
+    assert html_text.Page(html).blocks() == f"{'\u0130' * 40} one two x"
+
+
 def test_what_a_site_repeats_is_cut(spark):
     rng = random.Random(1)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
