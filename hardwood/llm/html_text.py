@@ -11,7 +11,11 @@ most of them are the site's and say nothing; of the rest, a near copy has nearly
 these. A page with nearly nothing besides what most pages hold counts as a copy of the others.
 
 Elements that by their tag, role or class are no article (menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles, comments) go without being counted; where a page marks its article (article, main, role=main), only that is read.
+forms, scripts, styles, comments) go without being counted. A class or id says so if all its parts do, positions and wrappers aside
+(cookie-notice, sidebar-left); one that only has such a part (content-sidebar-wrap, social-science) is evidence: its branch goes
+if most of its text is links, or if its importance is below ``HINTED``. No name cuts a branch that holds an article or, unless an
+article is marked elsewhere, most of the page's text. Where a page marks its article (article, main, role=main), only that is read,
+unless a block that isn't marked is longer than each that is.
 
 Each page yields one small row per path; the texts themselves are not shuffled unless cut branches are too many to broadcast.
 
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 
 from hardwood.llm.common import batch_pass, staged
 
-LOW, ENOUGH, CONTENT_WEIGHT = 0.2, 10, 0.9
+LOW, HINTED, ENOUGH, CONTENT_WEIGHT = 0.2, 0.8, 10, 0.9
 #: A near copy has at least NEAR of its text on other pages; a page has text of its own if what most pages of the host hold leaves OWN of it.
 NEAR, OWN = 0.8, 0.1
 
@@ -62,6 +66,10 @@ NO_ARTICLE_NAMES = frozenset(
     "navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar "
     "widget widgets alert".split()
 )
+#: Parts of names that say where an element is or what wraps it.
+PLACES = frozenset("area bar block bottom box container left links list main page primary right secondary section site slot top unit wrap wrapper".split())
+#: Elements whose text belongs to the block around them.
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd blockquote pre table tbody thead tfoot tr td th caption figure figcaption details summary hr center address".split())
 OWN_HEADER = frozenset("article post entry story content".split())
 NO_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 
@@ -70,10 +78,13 @@ class Page:
     """Elements of a page in order: parent, name (tag and classes), path; and its texts with the element each lies in."""
 
     def __init__(self, html: str):
-        self.parent, self.tag, self.name, self.path, self.cut, self.main = [-1], [""], [""], [""], [False], [False]
+        self.parent, self.tag, self.name, self.path, self.main = [-1], [""], [""], [""], [False]
+        #: Cut whatever it holds; named as no article; with a part of a name that is; an article by tag or role.
+        self.plain, self.named, self.hinted, self.article = [False], [False], [False], [False]
         #: (element, text); a text of None parts blocks.
         self.texts: list[tuple[int, str | None]] = []
         self._read(html)
+        self._judge()
 
     def _open(self, tag: str, attributes: str, above: int) -> int:
         names, role, hidden = [], "", False
@@ -81,26 +92,89 @@ class Page:
             for key, a, b, c in ATTRIBUTE.findall(attributes):
                 key, value = key.lower(), (a or b or c).lower()
                 if key in ("class", "id"):
-                    names += re.split(r"[\s_-]+", value)
+                    names += value.split()
                 elif key == "role":
                     role = value.strip()
                 else:
                     hidden |= key == "hidden" or value == "true"
-        marked = set(names)
-        in_main = self.main[above]
-        bad = marked & NO_ARTICLE_NAMES
-        if "header" in bad and (in_main or marked & OWN_HEADER):
-            bad = bad - {"header"}
-        cut = tag in NO_ARTICLE or hidden or role in NO_ARTICLE_ROLES or (tag == "header" and not in_main) or bool(bad and tag not in ("html", "body", "article", "main"))
-        name = tag + "".join("." + re.sub(r"\d+", "0", n) for n in sorted(marked) if n)
+        in_main, named, hinted = self.main[above], tag == "form", False
+        if names:
+            split = [{part for part in re.split(r"[_-]+", n) if part} for n in names]
+            known = NO_ARTICLE_NAMES
+            if in_main or any(parts & OWN_HEADER for parts in split):
+                known = known - {"header"}
+            hinted = any(parts & known for parts in split)
+            named |= hinted and any(parts & known and parts <= known | PLACES for parts in split)
+        article = tag in ("article", "main") or role in ("main", "article")
+        name = tag + "".join("." + re.sub(r"\d+", "0", n) for n in sorted(set(names)))
         self.parent.append(above)
         self.tag.append(tag)
         self.name.append(name)
         self.path.append(f"{self.path[above]}>{name}")
-        self.cut.append(cut or self.cut[above])
-        self.main.append(in_main or tag in ("article", "main") or role in ("main", "article"))
+        self.plain.append((tag in NO_ARTICLE and tag != "form") or hidden or role in NO_ARTICLE_ROLES or (tag == "header" and not in_main))
+        self.named.append(named and tag not in ("html", "body", "article", "main"))
+        self.hinted.append(hinted and tag not in ("html", "body"))
+        self.article.append(article)
+        self.main.append(in_main or article)
         return len(self.tag) - 1
 
+    def _judge(self) -> None:
+        """Which elements are cut, and which of those kept are hinted."""
+        n = len(self.tag)
+        gone = [False] * n
+        for k in range(1, n):
+            gone[k] = self.plain[k] or gone[self.parent[k]]
+        size, linked = self._sizes(gone)
+        holds = [False] * n
+        for k in range(n - 1, 0, -1):
+            # Comments and teasers are often articles by tag.
+            holds[k] = holds[k] or (self.article[k] and not self.hinted[k] and not gone[k] and size[k] > 0)
+            if holds[k]:
+                holds[self.parent[k]] = True
+        self.cut = gone
+        for k in range(1, n):
+            above = self.cut[self.parent[k]]
+            safe = holds[k] or (2 * size[k] > size[0] and not holds[0])
+            self.hinted[k] = self.hinted[k] and not safe and not self.article[k]
+            self.cut[k] = above or self.plain[k] or (self.named[k] and not safe) or (self.hinted[k] and 2 * linked[k] > size[k])
+
+    def _sizes(self, gone: list[bool]) -> tuple[list[int], list[int]]:
+        """Characters of text below each element, and how many of them lie in links."""
+        size, linked = [0] * len(gone), [0] * len(gone)
+        for element, text in self.texts:
+            if text is not None and not gone[element]:
+                size[element] += len("".join(text.split()))
+        for k in range(len(gone) - 1, 0, -1):
+            if self.tag[k] == "a":
+                linked[k] = size[k]
+            size[self.parent[k]] += size[k]
+            linked[self.parent[k]] += linked[k]
+        return size, linked
+
+    def _marked(self, gone: list[bool]) -> bool:
+        """Whether only marked text is to be read: some is, and no block without a mark is longer than the longest that has one."""
+        marked = [self.main[k] and not gone[k] for k in range(len(gone))]
+        if not any(marked):
+            return False
+        size, _ = self._sizes(gone)
+        outside = [(k, text) for k, (element, text) in enumerate(self.texts) if text is not None and not gone[element] and not self.main[element] and not text.isspace()]
+        if not outside:
+            return True
+        most = max(size[k] for k in range(1, len(gone)) if marked[k])
+        around = [False] * len(gone)
+        for k in range(len(gone) - 1, 0, -1):
+            around[self.parent[k]] |= around[k] or marked[k]
+        # A branch without a mark is one block; so is what lies in an element around marked ones without a block of its own.
+        blocks = [0] * len(gone)
+        for at, text in outside:
+            place = self.texts[at][0]
+            while place and (self.tag[place] in INLINE or self.tag[place] in PARAGRAPHS):
+                place = self.parent[place]
+            while place and not around[place] and not around[self.parent[place]]:
+                place = self.parent[place]
+            blocks[place] += len("".join(text.split()))
+        return max(blocks) <= most
+
     def _read(self, html: str) -> None:
         at, here = 0, 0
         while True:
@@ -157,7 +231,7 @@ class Page:
         if low and keys:
             for k in range(1, len(gone)):
                 gone[k] = gone[k] or gone[self.parent[k]] or keys.get(self.path[k]) in low
-        marked = any(main and not cut for main, cut in zip(self.main, gone))
+        marked = self._marked(gone)
         parts, block = [], []
         for element, text in self.texts:
             if text is None:
@@ -181,8 +255,8 @@ def node_keys(page: Page, host: str) -> dict[str, int]:
     return {path: (xxh64_intdigest(f"{host}\n{path}") ^ (1 << 63)) - (1 << 63) for path in set(page.path[1:])}
 
 
-def branches(html: str | None, url: str | None) -> tuple[list[tuple[int, int, int, int, int]], list[tuple[int, int, int, int]]]:
-    """(host, page, node, style, content) for each path of a page that holds text and (host, page, passage, size) for each passage, as hashes."""
+def branches(html: str | None, url: str | None) -> tuple[list[tuple[int, int, int, int, int, int]], list[tuple[int, int, int, int]]]:
+    """(host, page, node, style, content, hinted) for each path of a page that holds text and (host, page, passage, size) for each passage, as hashes."""
     from xxhash import xxh64, xxh64_intdigest
 
     host = host_of(url)
@@ -206,6 +280,7 @@ def branches(html: str | None, url: str | None) -> tuple[list[tuple[int, int, in
         for path in paths:
             contents.setdefault(path, xxh64()).update(data + b"\n")
     styles: dict[str, list[str]] = {}
+    sure = {page.path[k] for k in range(1, len(page.tag)) if not page.hinted[k] and not page.cut[k]}
     for k in range(1, len(page.tag)):
         children = styles.setdefault(page.path[page.parent[k]], [])
         if not children or children[-1] != page.name[k]:
@@ -216,14 +291,15 @@ def branches(html: str | None, url: str | None) -> tuple[list[tuple[int, int, in
 
     keys, place = node_keys(page, host), (signed(xxh64_intdigest(host)), signed(whole.intdigest()))
     return (
-        [(*place, keys[path], signed(xxh64_intdigest(">".join(styles.get(path, [])))), signed(content.intdigest())) for path, content in contents.items()],
+        [(*place, keys[path], signed(xxh64_intdigest(">".join(styles.get(path, [])))), signed(content.intdigest()), int(path not in sure))
+         for path, content in contents.items()],
         [(*place, signed(passage), size) for passage, size in passages.items()],
     )
 
 
 def style_rows(pages: DataFrame) -> DataFrame:
-    """page_key, host and page (its whole text, as a hash), with node, style and content of every branch that is not cut by its name, or passage and size of every passage."""
-    columns = ["page_key", "host", "page", "node", "style", "content", "passage", "size"]
+    """page_key, host and page (its whole text, as a hash), with node, style, content and hinted of every branch that is not cut by its name, or passage and size of every passage."""
+    columns = ["page_key", "host", "page", "node", "style", "content", "hinted", "passage", "size"]
 
     def make():
         def step(batch: pa.RecordBatch):
@@ -231,7 +307,7 @@ def style_rows(pages: DataFrame) -> DataFrame:
             for key, url, html in zip(*(c.to_pylist() for c in batch.columns)):
                 nodes, passages = branches(html, url)
                 rows += [(key, *node, None, None) for node in nodes]
-                rows += [(key, host, page, None, None, None, *passage) for host, page, *passage in passages]
+                rows += [(key, host, page, None, None, None, None, *passage) for host, page, *passage in passages]
             values = zip(*rows) if rows else [[]] * len(columns)
             yield pa.record_batch([pa.array(c, pa.int64()) for c in values], columns)
 
@@ -260,10 +336,10 @@ def near_copies(rows: DataFrame) -> DataFrame:
 
 
 def importance(rows: DataFrame) -> DataFrame:
-    """node, pages and importance. All groupings fold before the shuffle; a host's pages never meet in one task."""
+    """node, pages, importance and hinted (on all its pages). All groupings fold before the shuffle; a host's pages never meet in one task."""
 
     def folded(found: DataFrame) -> DataFrame:
-        return found.groupBy("node", "page").agg(F.min("style").alias("style"), F.min("content").alias("content"))
+        return found.groupBy("node", "page").agg(F.min("style").alias("style"), F.min("content").alias("content"), F.min("hinted").alias("hinted"))
 
     copies = staged(near_copies(rows), "near_copies")
     texts = folded(rows.filter("node is not null")).join(copies, "page", "left")
@@ -273,7 +349,8 @@ def importance(rows: DataFrame) -> DataFrame:
         counts = pages.groupBy("node", kind).agg(F.count("*").alias("n"))
         return counts.groupBy("node").agg(F.sum("n").alias(f"{kind}_pages"), F.sum(F.col("n") * F.log("n")).alias(f"{kind}_log"))
 
-    joined = agreement("content").join(agreement("style"), "node").withColumnRenamed("content_pages", "pages")
+    hinted = pages.groupBy("node").agg((F.min("hinted") == 1).alias("hinted"))
+    joined = agreement("content").join(agreement("style"), "node").join(hinted, "node").withColumnRenamed("content_pages", "pages")
     whole = F.col("pages") * F.log("pages")
 
     def entropy(kind: str):
@@ -281,14 +358,14 @@ def importance(rows: DataFrame) -> DataFrame:
         return F.when(F.col("pages") > 1, 1 - F.col(f"{kind}_log") / whole).otherwise(F.lit(1.0))
 
     value = CONTENT_WEIGHT * entropy("content") + (1 - CONTENT_WEIGHT) * entropy("style")
-    return joined.select("node", "pages", value.alias("importance"))
+    return joined.select("node", "pages", value.alias("importance"), "hinted")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages`` (page_id, url, html)."""
     keyed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("page_key"))
     rows = staged(style_rows(keyed), "styles")
-    low = staged(importance(rows).filter((F.col("pages") >= ENOUGH) & (F.col("importance") < LOW)).select("node"), "low_nodes")
+    low = staged(importance(rows).filter((F.col("pages") >= ENOUGH) & (F.col("importance") < F.when(F.col("hinted"), HINTED).otherwise(LOW))).select("node"), "low_nodes")
     cuts = staged(rows.join(low, "node", "left_semi").groupBy("page_key").agg(F.collect_set("node").alias("low")), "cuts")
     joined = keyed.join(cuts, "page_key", "left")
 

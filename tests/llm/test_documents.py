@@ -500,6 +500,24 @@ def test_articles_come_out_of_their_pages():
     assert html_text.Page("<p>a</p>" * 30000).blocks() == " ".join("a" * 30000)
 
 
+def test_names_do_not_cut_an_article():
+    story, other = "a story of many words " * 20, "<div class=site-footer>foot</div><div class='ad-slot'>buy</div>"
+    for name in ("content-sidebar-wrap", "no-sidebar", "has-ads", "social-science", "sidebar", "post tag-social"):
+        for inner in (f"<article><p>{story}</p></article>", f"<p>{story}</p>", f"<div><p>{story}</p><p>{story}</p></div>"):
+            html = f"<body><div id=menu>go</div><div class='{name}'>{inner}</div>{other}</body>"
+            assert html_text.Page(html).blocks() == " ".join([story.strip()] * inner.count(story))
+    part = f"<section class=social-science><p>{story}</p></section>"
+    assert html_text.Page(f"<div>{part}<section><p>{story}</p><p>{story}</p></section></div>").blocks() == " ".join([story.strip()] * 3)
+    cards = "<article class=card>read on</article>" * 30
+    for around in ("{}", "<p>{}</p>", "<div>{}</div>", "<div><div><p>{}</p></div></div>"):
+        assert story.strip() in html_text.Page(f"<body>{around.format(story)}{cards}</body>").blocks()
+        assert html_text.Page(f"<body>{around.format('go on')}<article>{story}</article></body>").blocks() == story.strip()
+    comments = f"<div id=comments><article class=comment>{story * 3}</article></div>"
+    assert html_text.Page(f"<body><article>{story}</article>{comments}</body>").blocks() == story.strip()
+    links = "<div class='post-related'><a>one more</a> <a>and more</a></div>"
+    assert html_text.Page(f"<body><p>{story}</p>{links}</body>").blocks() == story.strip()
+
+
 def test_letters_that_grow_in_lower_case_move_no_end_tag():
     script = "<SCRIPT>var s = '\u0130</scripted>' + 1 > 0;</Script >"
     html = f"<title>{'\u0130' * 9}</title><p>{'\u0130' * 40}</p>{script}<p>one</p>{script}<p>two</p><style>p>a{{}}</style>x"
@@ -533,6 +551,24 @@ def test_what_a_site_repeats_is_cut(spark):
     assert same.count() == 4
 
 
+def test_parts_of_names_are_evidence(spark):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
+
+    def told(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    rows = []
+    for i in range(40):  # the box has one of six texts: cut by name and count together, by neither alone
+        text, box = [told(30), told(30)], f"one of the six boxes of this site: {i % 6}"
+        for host, name in (("hinted", "x-widget"), ("plain", "x-part")):
+            html = f"<div class={name}>{box}</div><div class=social-science>{text[0]}</div><div>{text[1]}</div>"
+            rows.append((len(rows), f"http://{host}.example.com/{i}", html, " ".join(text if host == "hinted" else [box, *text])))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    assert got == {r[0]: r[3] for r in rows}
+
+
 def test_what_pages_share_does_not_make_them_one(spark):
     rng = random.Random(2)
     words = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(400)]
