@@ -9,9 +9,11 @@ the heap is empty. Symbols that are no piece fall back to byte pieces. Short cut
 nearly all of a text, are merged many at a time: there the agenda of each cut is
 a row of pair ranks, and every round merges the best pair of each cut.
 
-Every cut that a task meets for the first time is encoded by the sentencepiece
-library as well, one call per Arrow batch; where they differ (none is known) the
-library's ids stand, and ``n_library`` counts such cuts.
+What comes out is this module's own coding. The sentencepiece library only checks
+it: every cut that a task meets for the first time is encoded by the library as
+well, one call per Arrow batch, and the ids of every text are decoded by both.
+``n_library`` counts the cuts whose ids differ, and one more if the decoded text
+does (none is known).
 
 Defined results: a null text counts as empty and gives the begin and end ids
 alone; repeated rows are encoded each; an empty table gives an empty table;
@@ -190,6 +192,11 @@ class MergeVocabulary:
         """Text of ids: begin and end vanish, bytes are joined, the leading space that encoding added goes."""
         return self.decode_bytes(ids).decode("utf-8", errors="replace")
 
+    def decode_checked(self, ids: list[int]) -> tuple[str, bool]:
+        """Text of ids, and whether the library's differs."""
+        text = self.decode(ids)
+        return text, self.library.decode(ids) != text
+
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids)).removeprefix(b" ")
 
@@ -207,7 +214,7 @@ def _split(ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
 
 @lru_cache(maxsize=2)
 def coder(model_file: str) -> Callable[[list[str]], list[tuple[bytes, int]]]:
-    """Encodes the texts of one batch: ids as little-endian unsigned 32-bit integers, and the library's cuts among them.
+    """Encodes the texts of one batch: ids as little-endian unsigned 32-bit integers, and how many cuts the library codes otherwise.
 
     One per Python worker. Short cuts are remembered between batches, within bounds.
     """
@@ -231,7 +238,7 @@ def coder(model_file: str) -> Callable[[list[str]], list[tuple[bytes, int]]]:
         library = _split(np.fromiter((i for x in found for i in x), "<u4"), np.array([len(x) for x in found], np.int64))
         if own != library:
             odd.update(p for p, a, b in zip([*short, *long], own, library) if a != b)
-        known.update(zip([*short, *long], library))
+        known.update(zip([*short, *long], own))
         coded = [
             (b"".join([begin, *map(known.__getitem__, parts), end]), sum(p in odd for p in parts) if odd else 0) for parts in cuts
         ]
@@ -252,7 +259,9 @@ def encode_documents(docs: DataFrame, model_file: str) -> DataFrame:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             packed, odd = zip(*encode(texts))
             ids = [np.frombuffer(p, "<u4").astype(np.int32) for p in packed]
-            back = [vocab.decode(i.tolist()) == t for i, t in zip(ids, texts)]
+            decoded = [vocab.decode_checked(i.tolist()) for i in ids]
+            back = [d == t for (d, _), t in zip(decoded, texts)]
+            odd = [n + differs for n, (_, differs) in zip(odd, decoded)]
             yield pa.record_batch(
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.bool_()), pa.array(odd, pa.int64())],
                 ["doc_id", "ids", "round_trip", "n_library"],
@@ -287,8 +296,8 @@ def digest_documents(docs: DataFrame, model_file: str) -> DataFrame:
         def step(batch: pa.RecordBatch):
             rows = []
             for packed, odd in encode([t or "" for t in batch.column(1).to_pylist()]):
-                text = vocab.decode(np.frombuffer(packed, "<u4").tolist()).encode()
-                rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(text).hexdigest(), odd))
+                text, differs = vocab.decode_checked(np.frombuffer(packed, "<u4").tolist())
+                rows.append((len(packed) // 4, hashlib.sha256(packed).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), odd + differs))
             counts, packed, texts, odd = zip(*rows)
             yield pa.record_batch(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(packed), pa.array(texts), pa.array(odd, pa.int64())],

@@ -204,6 +204,19 @@ def test_coding_is_the_librarys(hostile, empty):
     assert pieces.digest_documents(empty, tokenizer_file()).isEmpty()
 
 
+def test_the_library_checks_and_does_not_code(monkeypatch):
+    vocab = pieces.MergeVocabulary(tokenizer_file())
+    monkeypatch.setattr(pieces, "vocabulary", lambda _: vocab)
+    text = "some words, some " + "long" * 200
+    right = [vocab.begin, *vocab.encode(text), vocab.end]
+    assert vocab.decode_checked(right) == (text, False)
+    monkeypatch.setattr(vocab, "by_library", lambda parts: [[vocab.unknown] for _ in parts])
+    [(packed, odd)] = pieces.coder.__wrapped__(tokenizer_file())([text])
+    assert np.frombuffer(packed, "<u4").tolist() == right and odd == len(vocab.cut(text))
+    vocab.bytes_of[right[1]] += b"!"
+    assert vocab.decode_checked(right)[1]
+
+
 # ----------------------------------------------------------- quality rules
 
 
