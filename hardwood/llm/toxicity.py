@@ -50,6 +50,8 @@ SECOND_PERSON = frozenset(
 LOOK_ALIKES = str.maketrans("013457@$!|+", "oieastasiit")
 EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum()) + "…“”‘’«»¿¡–—"
 
+ASCII = bytes(range(128))
+
 MASKED = re.compile(r"[^\W\d_](?:[^\w\s'’-]+|\d+)[^\W\d_]")
 DRAWN = re.compile(r"(.)\1{2,}")
 
@@ -136,14 +138,16 @@ class Reader:
         raw = text.encode()
         size = max(1, len(raw))
         capitals = size - len(raw.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+        if len(text) < size:
+            capitals += sum(map(str.isupper, raw.translate(None, ASCII).decode()))
         digits = size - len(raw.translate(None, b"0123456789"))
         marks = size - len(raw.translate(None, b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))
         shouts = raw.count(b"!") + raw.count(b"?")
-        upper = sum(w.isupper() and len(w) > 1 for w in words) if capitals > 0.2 * size else 0
+        upper = sum(len(w) > 1 for w in words if w.isupper())
         per = 1000.0 / n
         return [
             float(np.log1p(n)), insult * per, float(insult > 0), learned * per, odds * per, float(min(learned, 20)), stems * per, stem_odds * per,
-            near * per, near / max(1, insult + learned + hidden), second * per, capitals / size, upper / n, marks / size, shouts / size,
+            near * per, near / max(1, insult + learned + hidden), second * per, capitals / max(1, len(text)), upper / n, marks / size, shouts / size,
             digits / size, masked * per, hidden * per, drawn * per, sum(map(len, words)) / n,
         ]
 

@@ -384,6 +384,18 @@ def test_toxicity_features_see_through_disguise():
     assert reader.row(None) == reader.row(" ") == [0.0] * len(toxicity.FEATURES)
 
 
+def test_capital_words_count_in_every_text():
+    reader = toxicity.Reader({})
+    words, rate = (toxicity.FEATURES.index(f) for f in ("capital_word_rate", "capital_rate"))
+    plain = "quiet words " * 45
+    for shout in ("GO AWAY FROM ALL THIS NOW OR ELSE YES", "ÉÀ ÖÜ ÉÀ ÖÜ ÉÀ ÖÜ ÉÀ ÖÜ ÉÀ", "ДА НЕТ ДА НЕТ ДА НЕТ ДА НЕТ ДА"):
+        for around in ("", plain):
+            text = around + shout
+            row = reader.row(text)
+            assert row[words] == len(shout.split()) / len(text.split())
+            assert row[rate] == sum(map(str.isupper, text)) / len(text)
+
+
 def test_quality_separates_junk(spark, hostile, empty):
     rng = random.Random(7)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(500)]
