@@ -17,10 +17,10 @@ from pyspark.sql.types import StructType
 
 from hardwood.session import materialize, prepare
 
-__all__ = ["batch_pass", "fold", "fresh_name", "keep_rows", "one_each", "ready", "row_key", "staged", "table"]
+__all__ = ["batch_pass", "fold", "fresh_name", "keep_rows", "meet", "one_each", "ready", "row_key", "staged", "table"]
 
-#: Rows of one Arrow batch. Texts may be long; a batch of this many stays small in a Python worker.
-BATCH_ROWS = 512
+#: Rows and bytes of one Arrow batch, whichever is reached first: a batch of long texts stays small in a Python worker.
+BATCH_ROWS, BATCH_BYTES = 512, 1 << 25
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -34,6 +34,7 @@ def ready(spark: SparkSession) -> SparkSession:
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -89,6 +90,24 @@ def keep_rows(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     return single.unionByName(repeated.select(docs.columns))
 
 
+#: A key with more than one row in so many is hot; there are at most this many such keys, so a table of them is bounded.
+HOT_SHARE = 1000
+
+
+def meet(rows: DataFrame, table: DataFrame, *key: str) -> DataFrame:
+    """Inner join of staged ``rows`` to a staged ``table`` that is unique on ``key`` and counts in ``n`` how often a key occurs.
+
+    Rows of hot keys meet a broadcast of these keys (``HOT_SHARE`` at most) where they lie; the others are shuffled, and no task gets a hot key.
+    """
+    total = table.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(table.filter(F.col("n") * HOT_SHARE > total))
+    if hot.isEmpty():
+        return rows.join(table, list(key))
+    often = rows.join(hot, list(key))
+    seldom = rows.join(hot.select(*key), list(key), "left_anti").join(table.filter(F.col("n") * HOT_SHARE <= total), list(key))
+    return often.unionByName(seldom)
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """``name``, with as many underscores as it takes for ``df`` to have no such column."""
     while name in {c.lower() for c in df.columns}:

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardwood.llm import exact_dedup, html_text, language, mixing, pieces, pii, quality, quality_rules, simhash, toxicity
+from hardwood.llm import exact_dedup, html_text, language, mixing, pieces, pii, quality, quality_rules, simhash, substrings, toxicity
 from hardwood.llm.common import fold, table
 
 
@@ -90,9 +90,16 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(quality.score(docs, learnable(labels, "quality", 3, 1)), 3, 1)
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_toxicity, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_pii, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece, op10_quality_classifier)
+    for f in (
+        op1_toxicity, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_pii, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece,
+        op10_quality_classifier, op11_substring_dedup,
+    )
 }
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -167,4 +174,15 @@ SQL = {
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM texts WINDOW same AS (PARTITION BY t)""",
     "op4_quality_rules": _quality_rules_sql(),
+    "op11_substring_dedup": f"""
+        WITH w AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(coalesce(text, ''), '{quality_rules.BLANK}'), lambda x: x <> '') AS ws
+                   FROM documents),
+        windows AS (SELECT rid, doc_id, i, array_to_string(ws[i : i + 49], ' ') AS g
+                    FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w) AS u),
+        late AS (SELECT rid, i FROM (SELECT rid, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS low FROM windows) AS x WHERE low < doc_id),
+        covered AS (SELECT DISTINCT rid, i + k AS i FROM late, (SELECT unnest(range(50)) AS k) AS o),
+        words AS (SELECT rid, i, ws[i] AS word FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM w) AS u),
+        kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN covered USING (rid, i) GROUP BY rid)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN kept ON kept.rid = w.rid""",
 }
