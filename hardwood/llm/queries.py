@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardwood.llm import exact_dedup, html_text, language, mixing, pieces, pii, quality, quality_rules, simhash, substrings, toxicity
+from hardwood.llm import exact_dedup, html_text, language, mixing, pieces, pii, quality, quality_rules, simhash, substrings, toxicity, variants
 from hardwood.llm.common import fold, table
 
 
@@ -94,11 +94,15 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_pii, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece,
-        op10_quality_classifier, op11_substring_dedup,
+        op10_quality_classifier, op11_substring_dedup, op13_spelling_variants,
     )
 }
 
@@ -185,4 +189,30 @@ SQL = {
         kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN covered USING (rid, i) GROUP BY rid)
         SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN kept ON kept.rid = w.rid""",
+    "op13_spelling_variants": """
+        WITH RECURSIVE crc AS (
+            SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS steps
+            FROM (SELECT unnest(range(256)) AS b) AS r),
+        runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+                 FROM documents),
+        counted AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs GROUP BY ALL),
+        hashed AS (
+            SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1 : 2 * i + 2])::BIGINT)),
+                                           lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295) AS h
+            FROM counted, crc),
+        deleted AS (SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM hashed),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM deleted WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        cut AS (SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words) AS u),
+        near AS (
+            SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut AS a JOIN cut AS b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, a.n, b.word, b.n FROM words AS a JOIN cut AS b ON a.word = b.rest
+            UNION SELECT b.word, b.n, a.word, a.n FROM words AS a JOIN cut AS b ON a.word = b.rest),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+        forms AS (SELECT word, n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n FROM ranked WHERE place = 1),
+        chain AS (
+            SELECT word, form AS upper_form FROM forms WHERE form IS NOT NULL
+            UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.upper_form WHERE forms.form IS NOT NULL),
+        roots AS (SELECT word, arg_max(upper_form, times) AS root FROM (SELECT chain.word, upper_form, words.n AS times FROM chain JOIN words ON words.word = upper_form) AS c GROUP BY word)
+        SELECT words.word, form, coalesce(root, words.word) AS root, n, coalesce(n_near, 0) AS n_near, form_n
+        FROM words LEFT JOIN forms ON forms.word = words.word LEFT JOIN roots ON roots.word = words.word""",
 }
