@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hardwood.llm import exact_dedup, html_text, language, mixing, pieces, pii, quality, quality_rules, simhash, substrings, toxicity, variants
+from hardwood.llm import conversations, exact_dedup, html_text, language, mixing, pieces, pii, quality, quality_rules, simhash, substrings, toxicity, variants
 from hardwood.llm.common import fold, table
 
 
@@ -94,6 +94,23 @@ def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with the damage that a hash of conversation and turn decides: conv_id, turn, role, text, copies."""
+    spaced = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fate = F.crc32(F.concat_ws(":", *spaced).cast("binary")) % 20
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"), fate.alias("fate"))
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    return rows.filter("fate != 0").select(
+        "conv_id", "turn", F.when(F.col("fate") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        F.when(F.col("fate") == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.repair(damaged(rows), rows)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents"))
 
@@ -102,7 +119,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_exact_dedup, op3_html_extract, op4_quality_rules, op5_pii, op6_language_id, op7_mixing, op8_simhash, op9_sentencepiece,
-        op10_quality_classifier, op11_substring_dedup, op13_spelling_variants,
+        op10_quality_classifier, op11_substring_dedup, op12_conversation_repair, op13_spelling_variants,
     )
 }
 
@@ -170,6 +187,81 @@ def _quality_rules_sql() -> str:
         FROM rows_ LEFT JOIN judged ON judged.rid = rows_.rid"""
 
 
+#: CRC32 in SQL: the steps of all bytes, and the value for the bytes that ``x`` spells in hexadecimal digits.
+_CRC_STEPS = """crc AS (
+            SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS steps
+            FROM (SELECT unnest(range(256)) AS b) AS r)"""
+
+
+def _crc(x: str) -> str:
+    numbers = f"list_transform(range(length({x}) // 2), lambda i: ('0x' || {x}[2 * i + 1 : 2 * i + 2])::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {numbers}), lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295)"
+
+
+def _repair_sql() -> str:
+    """All conversations a row further in each round of a recursion, which keeps the least cost and audit of each state.
+
+    Before a row and at the end, up to three rows are inserted: more lead through a state twice.
+    """
+    inserts = []
+    for q in range(4):
+        state, said = q, []
+        for k in range(4):
+            inserts.append(f"({q}, {k}, {state}, [{', '.join(said)}]::VARCHAR[])")
+            letter = next(x for x in conversations.NAMES if (state, x) in conversations.NEXT)
+            state = conversations.NEXT[state, letter]
+            said.append(f"'{conversations.NAMES[letter]}:'")
+    steps = ", ".join(f"({q}, '{letter}', {to})" for (q, letter), to in conversations.NEXT.items())
+    return f"""
+        WITH RECURSIVE {_CRC_STEPS},
+        keyed AS (SELECT *, hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS x FROM conversations),
+        dealt AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc('x')} % 20 AS fate FROM keyed, crc),
+        damaged AS (
+            SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+                   CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE fate WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM dealt WHERE fate <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+                   regexp_replace(text, '{quality_rules.BLANK}', '', 'g') AS seen
+            FROM damaged),
+        faulty AS (
+            SELECT conv_id, turn, i, role, text, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair,
+                   CASE WHEN seen = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(seen, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+            FROM placed),
+        inserts(q, k, upto, said) AS (VALUES {', '.join(inserts)}),
+        steps_(q, letter, upto) AS (VALUES {steps}),
+        edits AS (
+            SELECT conv_id, i, 0 AS q, 0 AS upto, 4 AS cost, 'D' AS edit, []::VARCHAR[] AS said FROM faulty
+            UNION ALL SELECT conv_id, i, k, k, 4, 'D', [] FROM faulty, (VALUES (1), (2), (3)) AS s(k)
+            UNION ALL SELECT conv_id, i, q, upto, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, 'K', [role || ':' || text]
+                      FROM faulty JOIN steps_ ON letter = initial WHERE fault IN ('', 'truncated')
+            UNION ALL SELECT conv_id, i, q, upto, CASE fault WHEN 'truncated' THEN 6 ELSE 3 END, 'R', [CASE letter WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || text]
+                      FROM faulty JOIN steps_ ON letter IN ('u', 'a') WHERE fault IN ('', 'truncated')),
+        ways AS (
+            SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS q, {{'cost': 0, 'audit': '', 'said': []::VARCHAR[]}} AS best FROM faulty
+            UNION ALL
+            SELECT w.conv_id, w.i + 1, e.upto, min({{'cost': (w.best).cost + 3 * n.k + e.cost, 'audit': (w.best).audit || repeat('I', n.k) || e.edit,
+                                                    'said': list_concat(list_concat((w.best).said, n.said), e.said)}})
+            FROM ways AS w JOIN inserts AS n ON n.q = w.q JOIN edits AS e ON e.conv_id IS NOT DISTINCT FROM w.conv_id AND e.i = w.i + 1 AND e.q = n.upto
+            GROUP BY w.conv_id, w.i, e.upto),
+        counts AS (
+            SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+                   count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                   count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM faulty GROUP BY conv_id),
+        ends AS (
+            SELECT w.conv_id, min({{'cost': (w.best).cost + 3 * n.k, 'audit': (w.best).audit || repeat('I', n.k), 'said': list_concat((w.best).said, n.said)}}) AS best
+            FROM ways AS w JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.i JOIN inserts AS n ON n.q = w.q AND n.upto IN (0, 3)
+            GROUP BY w.conv_id)
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce((best).cost, 0)::BIGINT AS cost,
+               coalesce((best).audit, '') AS audit, sha256(coalesce(array_to_string((best).said, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+        LEFT JOIN counts AS c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ends AS e ON e.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
 #: The same results in SQL, where SQL can say them.
 SQL = {
     "op2_exact_dedup": f"""
@@ -189,17 +281,14 @@ SQL = {
         kept AS (SELECT rid, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM words ANTI JOIN covered USING (rid, i) GROUP BY rid)
         SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM w LEFT JOIN kept ON kept.rid = w.rid""",
-    "op13_spelling_variants": """
-        WITH RECURSIVE crc AS (
-            SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS steps
-            FROM (SELECT unnest(range(256)) AS b) AS r),
+    "op12_conversation_repair": _repair_sql(),
+    "op13_spelling_variants": f"""
+        WITH RECURSIVE {_CRC_STEPS},
         runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
                  FROM documents),
         counted AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs GROUP BY ALL),
         hashed AS (
-            SELECT run, n, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1 : 2 * i + 2])::BIGINT)),
-                                           lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295) AS h
-            FROM counted, crc),
+            SELECT run, n, {_crc('x')} AS h FROM counted, crc),
         deleted AS (SELECT CASE WHEN h % 199 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM hashed),
         words AS (SELECT word, sum(n)::BIGINT AS n FROM deleted WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
         cut AS (SELECT word, n, i, word[1 : i - 1] || word[i + 1 :] AS rest FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words) AS u),
