@@ -20,6 +20,8 @@ domain that no document can belong to is left out of the targets, which are scal
 
 from __future__ import annotations
 
+import json
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -27,15 +29,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hardwood.llm.common import batch_pass, fresh_name, row_key, staged
 from hardwood.llm.language import fit
 from hardwood.llm.subwords import SubwordModel
 
-GRID, STEPS, CLOSE = 200, 60, 1e-6
+GRID, CLOSE = 200, 1e-6
+#: Steps after which fitting stops in any case; whether it came close enough is reported.
+STEPS = 60
 PER_DOMAIN = 250
 
 
+def _parts(texts: list[str | None], model: SubwordModel, memory: dict) -> pa.Array:
+    """Posteriors of texts in parts of ``GRID``."""
+    parts = np.rint(model.probabilities(texts, memory) * GRID).astype(np.int32) if model.names else np.zeros((len(texts), 0), np.int32)
+    return pa.array(list(parts), pa.list_(pa.int32()))
+
+
 def posteriors(docs: DataFrame, model: SubwordModel) -> DataFrame:
     """doc_id, row_key, tokens (words of a text) and posterior (array of parts of ``GRID``, in the order of the model's names)."""
 
@@ -44,12 +55,8 @@ def posteriors(docs: DataFrame, model: SubwordModel) -> DataFrame:
 
         def step(batch: pa.RecordBatch):
             texts = batch.column(2).to_pylist()
-            parts = np.rint(model.probabilities(texts, memory) * GRID).astype(np.int32) if model.names else np.zeros((len(texts), 0), np.int32)
             tokens = [len((t or "").encode().split()) for t in texts]
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(list(parts), pa.list_(pa.int32()))],
-                ["doc_id", "row_key", "tokens", "posterior"],
-            )
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), _parts(texts, model, memory)], ["doc_id", "row_key", "tokens", "posterior"])
 
         return step
 
@@ -57,6 +64,21 @@ def posteriors(docs: DataFrame, model: SubwordModel) -> DataFrame:
     return batch_pass(docs.select("doc_id", row_key().alias("row_key"), "text"), schema, make)
 
 
+def with_posterior(docs: DataFrame, model: SubwordModel, name: str) -> DataFrame:
+    """All columns of ``docs`` and the posterior of each row as ``name``; rows stay where they are."""
+    at = docs.columns.index("text")
+
+    def make():
+        memory: dict = {}
+
+        def step(batch: pa.RecordBatch):
+            yield pa.RecordBatch.from_arrays([*batch.columns, _parts(batch.column(at).to_pylist(), model, memory)], names=[*batch.schema.names, name])
+
+        return step
+
+    return batch_pass(docs, T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType()))]), make)
+
+
 @dataclass
 class Mixture:
     """Fitted rates: the gradient of each step, and what the totals came to."""
@@ -65,6 +87,12 @@ class Mixture:
     gradients: list[list[float]]
     targets: list[float]
     reached: list[float]
+    converged: bool = True
+
+    @property
+    def residual(self) -> float:
+        """Largest distance of a total from its target, as a share of all targets."""
+        return max((abs(a - b) for a, b in zip(self.reached, self.targets)), default=0.0) / (sum(self.targets) or 1.0)
 
     def rate(self, posterior: Column) -> Column:
         """Rate of a posterior: the steps replayed."""
@@ -75,7 +103,8 @@ def replay(posterior: Column, gradients: list[list[float]]) -> Column:
     """1, moved by each gradient along the posterior and kept at 0 or more, in turn."""
     if not gradients:
         return F.lit(1.0)
-    steps = F.array(*[F.array(*map(F.lit, g)) for g in gradients])
+    # One literal, which the planner folds: thousands of numbers as single columns take it longer than the rows do.
+    steps = F.from_json(F.lit(json.dumps(gradients)), "array<array<double>>")
 
     def along(g: Column) -> Column:
         return F.aggregate(F.zip_with(g, posterior, lambda a, b: a * b / F.lit(float(GRID))), F.lit(0.0), lambda x, y: x + y)
@@ -108,13 +137,20 @@ def fit_rates(shares: DataFrame, names: list[str], weights: Mapping[str, float],
     target, scale = whole * weight, np.where(now > 0, now, 1.0)
     gradients: list[list[float]] = []
     reached = now
+    converged = False
     for _ in range(STEPS):
         if np.abs(reached - target).max() <= CLOSE * whole:
+            converged = True
             break
         # Posteriors sum to about 1, so with these weights the curvature is 1 at most, and a step of 1 is safe.
         gradients.append(((reached - target) / scale).tolist())
-        reached = totals(gradients)
-    return Mixture(names, gradients, target.tolist(), reached.tolist())
+        before, reached = reached, totals(gradients)
+        if np.abs(reached - before).max() <= CLOSE * CLOSE * whole:
+            break  # the least distance that nonnegative rates allow; the targets are out of reach
+    fitted = Mixture(names, gradients, target.tolist(), reached.tolist(), converged)
+    if not converged:
+        warnings.warn(f"totals stay {fitted.residual:.2g} of all tokens from their targets after {len(gradients)} steps", stacklevel=2)
+    return fitted
 
 
 def copies(rate: Column, key: Column, least: int = 0) -> Column:
@@ -123,26 +159,38 @@ def copies(rate: Column, key: Column, least: int = 0) -> Column:
     return F.greatest(F.lit(least), F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("int")
 
 
-def mix(
-    docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, total_tokens: float | None = None, least: int = 0
-) -> tuple[DataFrame, Mixture]:
-    """doc_id, row_key, tokens, posterior, rate and copies of every row, and the fitted mixture.
+def fit_mix(
+    docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, total_tokens: float | None = None
+) -> tuple[DataFrame, SubwordModel, Mixture]:
+    """doc_id, row_key, tokens and posterior of every row, staged, the classifier, and the fitted mixture.
 
     ``labels`` is (doc_id, label); ``weights`` is by domain, equal ones by default.
     """
     model = fit(docs, labels, PER_DOMAIN)
     shares = staged(posteriors(docs, model), "posteriors")
-    fitted = fit_rates(shares, model.names, weights or dict.fromkeys(model.names, 1.0), total_tokens)
-    rate = F.round(fitted.rate(F.col("posterior")), 6)
-    return shares.withColumn("rate", rate).withColumn("copies", copies(F.col("rate"), F.col("row_key"), least)), fitted
-
-
-def mixed(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], least: int = 0) -> DataFrame:
-    """Each row of ``docs``, all columns, as often as its rate says. Only rows that don't stay as they are meet the texts."""
-    rates, _ = mix(docs, labels, weights, least=least)
-    row, one, mix_id, mix_key, times = (fresh_name(docs, n) for n in ("mix_row", "mix_one", "mix_id", "mix_key", "mix_copies"))
-    changed = rates.filter("copies != 1").groupBy(F.col("doc_id").alias(mix_id), F.col("row_key").alias(mix_key))
-    changed = staged(changed.agg(F.min("copies").alias(times)), "copies")
-    joined = docs.withColumn(row, row_key()).join(changed, (F.col(row) == F.col(mix_key)) & F.col("doc_id").eqNullSafe(F.col(mix_id)), "left")
-    often = F.coalesce(times, F.lit(1))
-    return joined.filter(often > 0).withColumn(one, F.explode(F.array_repeat(F.lit(1), often))).select(docs.columns)
+    return shares, model, fit_rates(shares, model.names, weights or dict.fromkeys(model.names, 1.0), total_tokens)
+
+
+def _rounded(fitted: Mixture, posterior: Column) -> Column:
+    return F.round(fitted.rate(posterior), 6)
+
+
+def mix(
+    docs: DataFrame, labels: DataFrame, weights: Mapping[str, float] | None = None, total_tokens: float | None = None, least: int = 0
+) -> tuple[DataFrame, Mixture]:
+    """doc_id, row_key, tokens, posterior, rate and copies of every row, and the fitted mixture."""
+    shares, _, fitted = fit_mix(docs, labels, weights, total_tokens)
+    rated = shares.withColumn("rate", _rounded(fitted, F.col("posterior")))
+    return rated.withColumn("copies", copies(F.col("rate"), F.col("row_key"), least)), fitted
+
+
+def mixed(docs: DataFrame, labels: DataFrame, weights: Mapping[str, float], least: int = 0, total_tokens: float | None = None) -> DataFrame:
+    """Each row of ``docs``, all columns, as often as its rate says.
+
+    A rate follows from the posterior alone, so the rows are read and classified once more and repeated where they lie: nothing is joined or shuffled.
+    """
+    _, model, fitted = fit_mix(docs, labels, weights, total_tokens)
+    posterior, rate, one = (fresh_name(docs, n) for n in ("mix_posterior", "mix_rate", "mix_one"))
+    rated = with_posterior(docs, model, posterior).withColumn(rate, _rounded(fitted, F.col(posterior)))
+    often = copies(F.col(rate), row_key(), least)
+    return rated.withColumn(one, F.explode(F.array_repeat(F.lit(1), often))).select(docs.columns)
