@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from hardwood import tables as t
 from hardwood.catalog import standins as s
 from hardwood.catalog.build_queries import _SIDES, DIM_GAME_BUILD_SQL
+from hardwood.catalog.mart_queries import SEASON_CHAIN_SQL
 from hardwood.operators.latest import STAMP
 from hardwood.operators.quality import CORRUPT, quality
 from hardwood.plans import dimensions, facts, marts
-from hardwood.plans.warehouse import Warehouse, load_history, load_upsert, sync_static
+from hardwood.plans.warehouse import Warehouse, load_history, load_marts, load_upsert, sync_static
 from hardwood.session import materialize, scratch_path, together
 from hardwood.sources import extracts, shot_csv, stage
 
@@ -131,6 +132,25 @@ RELOAD_SHOTS_SQL = f"""
 """
 
 
+def reload_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shooting mart after a second load: early shots and teams of even suppliers first, then all; only seasons that changed are folded again."""
+    wh, shots, games = _warehouse(spark), s.shots(spark, sf_dir), s.games(spark, sf_dir)
+    teams, details = s.teams(spark, sf_dir), s.team_details(spark, sf_dir)
+    even = F.right(F.col("full_name"), F.lit(1)).isin("0", "2", "4", "6", "8")
+    together(
+        lambda: load_upsert(wh, t.DIM_TIME, dimensions.dim_time(shots, games)),
+        lambda: load_upsert(wh, t.DIM_ZONE, dimensions.dim_zone(shots)),
+        lambda: load_history(wh, t.DIM_PLAYER, dimensions.dim_player(s.players(spark, sf_dir)), RUNS[0]),
+    )
+    zones, times = wh.table(t.DIM_ZONE), wh.table(t.DIM_TIME)
+    for run, some_teams, some_shots in ((RUNS[0], teams.where(even), _early(shots)), (RUNS[1], teams, shots)):
+        load_history(wh, t.DIM_TEAM, dimensions.dim_team(some_teams, details), run)
+        load_upsert(wh, t.FACT_SHOTS, facts.fact_shots(some_shots, zones, times))
+        load_marts(wh, run)
+    mart = wh.read("dm", "player_shot_efficiency", t.PLAYER_SHOT_EFFICIENCY).drop(STAMP)
+    return mart.withColumns({c: F.col(c).cast("double") for c in ("zone_fg_percentage", "shots_per_game", "points_per_zone")})
+
+
 def reload_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Teams from even suppliers, then from all: versions close and open, ids go on."""
     wh, teams, details = _warehouse(spark), s.teams(spark, sf_dir), s.team_details(spark, sf_dir)
@@ -311,6 +331,7 @@ QUERIES = {
     "team_chain": (team_chain, TEAM_CHAIN_SQL),
     "reload_games": (reload_games, DIM_GAME_BUILD_SQL),
     "reload_shots": (reload_shots, RELOAD_SHOTS_SQL),
+    "reload_marts": (reload_marts, f"SELECT * EXCLUDE (load_timestamp) FROM ({SEASON_CHAIN_SQL})"),
     "reload_history": (reload_history, RELOAD_HISTORY_SQL),
     "declared_rules": (declared_rules, " UNION ALL ".join(map(_rules_sql, RULED))),
     "extract_scan": (extract_scan, """

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hardwood.operators.buckets import BUCKET, bucket_of, folder, in_partitions
 from hardwood.operators.constraints import check_unique
-from hardwood.operators.delta import UPDATED
+from hardwood.operators.delta import INSERTED, UPDATED
 from hardwood.operators.upsert import without_keys
 from hardwood.session import materialize
-from hardwood.sources.stage import delete_path, path_exists
+from hardwood.storage import delete_path, path_exists
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
@@ -20,7 +21,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     Rebalancing splits a partition that holds most of the rows over several
     tasks and files, and gathers small ones.
     """
-    constant = list(partition_by) == ["slice"]
+    constant = list(partition_by) in (["slice"], ["run"])
     (
         (df.hint("rebalance") if constant else df.hint("rebalance", *partition_by))
         .write.mode("overwrite")
@@ -59,8 +60,10 @@ def finish_pending(spark: SparkSession, path: str) -> bool:
         overwrite_partitions(spark.read.parquet(f"{pending}/rows"), path, partition_by)
         for row in spark.read.schema("name string").parquet(f"{pending}/emptied").collect():
             delete_path(spark, f"{path}/{row.name}")
-    if path_exists(spark, pending):
-        delete_path(spark, pending)
+    # The mark goes first: where a folder is not deleted at once, a stop in between must not leave a mark without rows.
+    for left in (f"{pending}/ready", pending):
+        if path_exists(spark, left):
+            delete_path(spark, left)
     return ready
 
 
@@ -88,27 +91,55 @@ def refresh_unless_empty(df: DataFrame, path: str, key: Sequence[str], name: str
     return rows
 
 
+def refresh_partitions(df: DataFrame, path: str, key: Sequence[str], name: str, partition: str, values: Sequence | None) -> int:
+    """Refresh the ``values`` of a mart's partition column, or all of it (None), from ``df``, which holds their rows alone.
+
+    Gives what a full refresh would: partitions that no longer have rows are dropped, but a mart that would lose its last row
+    stays as it is. Returns the number of rows written. The partitions are exchanged all or none.
+    """
+    spark = df.sparkSession
+    finish_pending(spark, path)
+    staged = materialize(df, name)
+    filled = {row[0]: row[1] for row in staged.groupBy(partition).count().collect()}
+    unsliced = path_exists(spark, f"{path}/slice=all")  # as ``refresh_unless_empty`` would have left it
+    stored: set = set()
+    if path_exists(spark, path) and not unsliced:
+        stored = {row[0] for row in spark.read.schema(df.select(partition).schema).parquet(path).distinct().collect()}
+    replaced = stored if values is None else stored & set(values)
+    if not filled and not stored - replaced:
+        return 0
+    check_unique(staged, key, name)
+    gone = [folder([partition], [value]) for value in sorted(replaced - set(filled))]
+    commit(staged, path, [partition], [*gone, *(["slice=all"] if unsliced else [])])
+    return sum(filled.values())
+
+
 def publish_changes(
-    target: DataFrame, changes: DataFrame, path: str, partition: str, key: Sequence[str], nullable: Sequence[str]
+    target: DataFrame, changes: DataFrame, path: str, partition: str, key: Sequence[str], nullable: Sequence[str], buckets: int | None = None
 ) -> None:
     """Merge staged ``changes`` into a partitioned table, touching only the partitions they name.
 
-    New keys alone are appended. Once a stored row changes, its old and its new
-    partition are exchanged together, since a correction may move a row; a partition that
-    loses its last row is dropped, which a dynamic overwrite would not do. The touched partitions are checked to be
-    unique before anything is published.
+    With ``buckets`` a partition falls into that many key-hash buckets (``target`` then has the column ``bucket``), and only buckets
+    that hold a changed row are rewritten. Corrections come first: the old and the new place of each changed row are exchanged together, all or
+    none, since a correction may move a row; a place that loses its last row is dropped, which a dynamic overwrite
+    would not do. Then new keys are appended. A run that dies between the two has stored whole corrections, and the next load finds the rest.
+
+    ``changes`` are checked to be unique, and so are the rewritten places: new keys are absent from the target by ``status``.
     """
-    rows = changes.select(target.columns)
-    moves = changes.select(partition, f"known_{partition}", "status").distinct().collect()
-    if not any(row.status == UPDATED for row in moves):
-        rows.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
-        return
-    arriving = {row[0] for row in moves}
-    left_behind = {row[1] for row in moves if row[1] is not None} - arriving
-    kept = without_keys(target.where(F.col(partition).isin(*arriving, *left_behind)), changes, key, nullable)
-    touched = materialize(kept.unionByName(rows), "touched")
-    check_unique(touched, key, path)
-    filled = {
-        row[0] for row in touched.where(F.col(partition).isin(*left_behind)).select(partition).distinct().collect()
-    } if left_behind else set()
-    commit(touched, path, [partition], [f"{partition}={value}" for value in sorted(left_behind - filled)])
+    levels = [partition, BUCKET] if buckets else [partition]
+    columns = [name for name in target.columns if name != BUCKET]
+    if buckets:
+        changes = changes.withColumn(BUCKET, bucket_of(target.schema, key, buckets))
+    check_unique(changes, key, path)
+    updated = changes.where(F.col("status") == UPDATED)
+    moves = updated.select(partition, f"known_{partition}", *levels[1:]).distinct().collect()
+    if moves:
+        touched = {(row[0], *row[2:]) for row in moves} | {(row[1], *row[2:]) for row in moves if row[1] is not None}
+        kept = without_keys(target.where(in_partitions(levels, touched)), updated, key, nullable)
+        rows = materialize(kept.select(*columns, *levels[1:]).unionByName(updated.select(*columns, *levels[1:])), "touched")
+        check_unique(rows, key, path)
+        filled = {tuple(row) for row in rows.select(*levels).distinct().collect()}
+        commit(rows, path, levels, [folder(levels, values) for values in sorted(touched - filled)])
+    fresh = changes.where(F.col("status") == INSERTED).select(*columns, *levels[1:])
+    if not fresh.isEmpty():
+        fresh.hint("rebalance", *levels).write.mode("append").partitionBy(*levels).parquet(path)

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hardwood import tables as t
-from hardwood.functions.cleaning import start_year
+from hardwood.functions.cleaning import numeric_id, start_year
+from hardwood.operators import changes as changed_by
 from hardwood.operators.audit import load_audit, null_zero_counts, season_backlog
+from hardwood.operators.buckets import BUCKET, touched_buckets
 from hardwood.operators.constraints import align, check_unique, fill_defaults
 from hardwood.operators.delta import INSERTED, UNCHANGED, known_rows, newer_than_target
 from hardwood.operators.latest import STAMP
-from hardwood.operators.publish import commit, finish_pending, publish_changes, refresh_unless_empty, replace_whole
+from hardwood.operators.publish import commit, finish_pending, publish_changes, refresh_partitions, replace_whole
 from hardwood.operators.quality import comment, quality, text_lengths
 from hardwood.operators.scd2 import advance, classify
 from hardwood.operators.snapshot import deleted_keys, rows_to_append, snapshot_status
@@ -77,9 +79,25 @@ class Warehouse:
         """Season of every stage row; reads the partition names only, no column."""
         return self.read("stage", table.name, T.StructType([T.StructField("season", T.IntegerType())]))
 
-    def table(self, table: t.WarehouseTable) -> DataFrame:
-        """A dimension or fact; files older than a column read with its default."""
-        return fill_defaults(self.read("dds", table.name, table.schema), (STAMP, "valid_from"))
+    def table(self, table: t.WarehouseTable, bucketed: bool = False) -> DataFrame:
+        """A dimension or fact; files older than a column read with its default. ``bucketed`` adds the bucket column."""
+        schema = T.StructType([*table.schema.fields, T.StructField(BUCKET, T.IntegerType())]) if bucketed else table.schema
+        return fill_defaults(self.read("dds", table.name, schema), (STAMP, "valid_from"))
+
+    def buckets(self, table: t.WarehouseTable) -> int | None:
+        """Number of buckets of a partitioned table: as stored with it, as declared for a new one, None for one that was written without."""
+        path = self.path("tech", f"buckets/{table.name}")
+        if stage.path_exists(self.spark, f"{path}/_SUCCESS"):
+            return self.spark.read.schema("buckets int").parquet(path).first()[0]
+        if stage.path_exists(self.spark, self.path("dds", table.name)):
+            return None
+        self.spark.createDataFrame([(table.buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(path)
+        return table.buckets
+
+    @property
+    def changed(self) -> str:
+        """Where loads record the seasons and keys they change, for the marts."""
+        return self.path("tech", "changed")
 
 
 def _run_name(run_at: dt.datetime) -> str:
@@ -208,14 +226,20 @@ def load_upsert(
 
     Keys already stored keep their surrogate id; new keys get the next ones. The
     changes are staged once, and counts, ids and the write all read that copy.
+    Of a bucketed table only the buckets that the candidates fall into are looked up, and only those with a correction are rewritten.
     """
     path = wh.path("dds", table.name)
     finish_pending(wh.spark, path)
-    target = wh.table(table)
+    buckets = wh.buckets(table) if table.partition else None
+    target = wh.table(table, bucketed=buckets is not None)
     kept = [name for name in (table.surrogate, table.partition) if name]
     if stage.path_exists(wh.spark, path):
         staged = materialize(candidates, f"candidates-{table.name}")
-        known = known_rows(staged, target, table.key, [STAMP, *kept], table.nullable_key)
+        looked_up = target
+        if buckets:
+            needed = touched_buckets(staged, table.schema, table.key, buckets)
+            looked_up = target.where(F.col(BUCKET).isin(*needed)) if len(needed) < buckets else target
+        known = known_rows(staged, looked_up, table.key, [STAMP, *kept], table.nullable_key)
         changes = newer_than_target(staged, known, table.key, carry=kept, nullable=table.nullable_key)
     else:
         staged = None
@@ -232,8 +256,13 @@ def load_upsert(
     if counts:
         if table.surrogate and counts.get(INSERTED):
             _reserve_ids(wh, table, last + counts[INSERTED])
+        season = table.partition or ("season_year" if "season_year" in table.schema.names else None)
+        if season:
+            names = [season, *([f"known_{season}"] if f"known_{season}" in changes.columns else [])]
+            seasons = changes.select(F.explode(F.array(*names)).alias("value")).dropna()
+            changed_by.record(seasons.withColumn("kind", F.lit(changed_by.SEASON)), wh.changed, table.name)
         if table.partition:
-            publish_changes(target, changes, path, table.partition, table.key, table.nullable_key)
+            publish_changes(target, changes, path, table.partition, table.key, table.nullable_key, buckets)
         else:
             replace_whole(upsert(target, changes, table.key, table.nullable_key), path, table.key, table.name)
     counts[UNCHANGED] = staged.count() - sum(counts.values()) if staged else 0
@@ -265,6 +294,10 @@ def load_history(
         closed = step.closed.withColumn("closed_by", F.lit(_run_name(run_at)))
         versions = materialize(running.unionByName(closed), f"versions-{table.name}")
         check_unique(versions.where("is_active"), table.key, table.name)
+        kind = {t.DIM_TEAM.name: changed_by.TEAM, t.DIM_PLAYER.name: changed_by.PLAYER}.get(table.name)
+        if kind:
+            keys = classified.where(F.col("status") != UNCHANGED).select(F.lit(kind).alias("kind"), numeric_id(F.col("business_key")).alias("value"))
+            changed_by.record(keys.dropna(), wh.changed, table.name)
         commit(versions, path, ["is_active", "closed_by"])
     return LoadResult(table.name, "SCD2", counts, watch.remarks() if watch else "")
 
@@ -334,23 +367,47 @@ def _with_rejects(wh: Warehouse, result: LoadResult, classified: DataFrame, run_
 
 
 def load_marts(wh: Warehouse, run_at: dt.datetime) -> list[LoadResult]:
-    """Rebuild the three marts; both team marts read one stored aggregate."""
+    """Refresh the seasons of the three marts that loads changed since the last refresh; a mart that isn't stored is built whole.
+
+    The record of changes names seasons, teams and players; a changed team or player brings in the seasons its facts lie in.
+    Facts are read for these seasons alone. Both team marts read one stored aggregate. The records are removed when
+    all marts are stored, so that a refresh that dies is done again.
+    """
+    changed = materialize(changed_by.recorded(wh.spark, wh.changed), "changed")
+    runs = [(r.source, r.run) for r in changed.select("source", "run").distinct().collect()]
+    names = ("player_shot_efficiency", "team_attack_efficiency", "three_point_trends")
+    for name in names:
+        finish_pending(wh.spark, wh.path("dm", name))
+    stored = [stage.path_exists(wh.spark, wh.path("dm", name)) and not stage.path_exists(wh.spark, wh.path("dm", f"{name}/slice=all")) for name in names]
     times, teams = wh.table(t.DIM_TIME), wh.table(t.DIM_TEAM)
-    totals = materialize(marts.team_season_totals(wh.table(t.FACT_GAMES), times, teams), "team-season-totals")
-    shooting = marts.player_shot_efficiency(
-        wh.table(t.FACT_SHOTS), wh.table(t.DIM_ZONE), times, teams, wh.table(t.DIM_PLAYER)
-    )
+
+    def refold(table: t.WarehouseTable, complete: bool, keys: dict[str, str]) -> tuple[DataFrame, list[int] | None]:
+        """The fact's rows of the seasons to fold again, and these seasons (None for all)."""
+        fact = wh.table(table)
+        if not complete:
+            return fact, None
+        seasons = changed_by.seasons_to_refold(changed, [table.name, t.DIM_TIME.name], fact, table.partition, keys)
+        return fact.where(F.col(table.partition).isin(*seasons)), seasons
+
+    shots, shot_seasons = refold(t.FACT_SHOTS, stored[0], {changed_by.TEAM: "team_id", changed_by.PLAYER: "player_id"})
+    games, game_seasons = refold(t.FACT_GAMES, all(stored[1:]), {changed_by.TEAM: "team_id"})
+    totals = None
+    if game_seasons != []:
+        totals = materialize(marts.team_season_totals(games, times, teams), "team-season-totals")
     team_key = ("team_id", "season_year")
     player_key = ("player_id", "full_name", "season_year", "basic_zone", "zone_name", "zone_range")
     plans = (
-        ("player_shot_efficiency", shooting, t.PLAYER_SHOT_EFFICIENCY, player_key),
-        ("team_attack_efficiency", marts.team_attack_efficiency(totals), t.TEAM_ATTACK_EFFICIENCY, team_key),
-        ("three_point_trends", marts.three_point_trends(totals), t.THREE_POINT_TRENDS, team_key),
+        (lambda: marts.player_shot_efficiency(shots, wh.table(t.DIM_ZONE), times, teams, wh.table(t.DIM_PLAYER)), t.PLAYER_SHOT_EFFICIENCY, player_key, shot_seasons),
+        (lambda: marts.team_attack_efficiency(totals), t.TEAM_ATTACK_EFFICIENCY, team_key, game_seasons),
+        (lambda: marts.three_point_trends(totals), t.THREE_POINT_TRENDS, team_key, game_seasons),
     )
     results = []
-    for name, frame, schema, key in plans:
-        rows = refresh_unless_empty(align(stage.stamped(frame, run_at), schema), wh.path("dm", name), key, name)
-        results.append(LoadResult(name, "REFRESH", {INSERTED: rows} if rows else {}))
+    for name, (plan, schema, key, seasons) in zip(names, plans):
+        rows = 0
+        if seasons != []:
+            rows = refresh_partitions(align(stage.stamped(plan(), run_at), schema), wh.path("dm", name), key, name, "season_year", seasons)
+        results.append(LoadResult(name, "REFRESH", {INSERTED: rows} if rows else {}, "" if seasons is None else f"seasons: {', '.join(map(str, seasons)) or 'none'}"))
+    changed_by.used_up(wh.spark, wh.changed, runs)
     return results
 
 

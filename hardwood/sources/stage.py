@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.operators.latest import STAMP
+from hardwood.operators.publish import commit, finish_pending
+from hardwood.storage import delete_path, path_exists
+
+__all__ = ["append", "delete_path", "path_exists", "replace_season", "stamp_literal", "stamped"]
 
 
 def stamp_literal(run_at: dt.datetime) -> Column:
@@ -20,29 +24,16 @@ def stamped(df: DataFrame, run_at: dt.datetime) -> DataFrame:
 
 
 def append(df: DataFrame, path: str, run_at: dt.datetime) -> None:
-    """Add rows as new versions; earlier versions stay."""
-    stamped(df, run_at).write.mode("append").parquet(path)
+    """Add rows as new versions; earlier versions stay.
+
+    The rows of a run lie in a partition of their own, which is exchanged all or none: a run that is repeated
+    after it died, or done twice, stores its rows once.
+    """
+    finish_pending(df.sparkSession, path)
+    commit(stamped(df, run_at).withColumn("run", F.lit(run_at.strftime("r%Y%m%dT%H%M%S%f"))), path, ["run"])
 
 
 def replace_season(df: DataFrame, path: str, year: int, run_at: dt.datetime) -> None:
-    """Write one season's partition; loading a season again replaces it. Rebalanced by size alone: all rows share the season."""
-    (
-        stamped(df, run_at)
-        .withColumn("season", F.lit(year))
-        .hint("rebalance")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("season")
-        .parquet(path)
-    )
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether anything is stored under ``path``, on whatever file system it names."""
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    """Write one season's partition, all or none; loading a season again replaces it."""
+    finish_pending(df.sparkSession, path)
+    commit(stamped(df, run_at).withColumn("season", F.lit(year)), path, ["season"])

@@ -51,7 +51,10 @@ class StageTable:
 
 @dataclass(frozen=True)
 class WarehouseTable:
-    """A dimension or fact. ``merge`` is ``upsert`` or ``scd2``."""
+    """A dimension or fact. ``merge`` is ``upsert`` or ``scd2``.
+
+    ``buckets`` is the number of key-hash buckets of a season of a new table, chosen so that a bucket is a few files; a stored table keeps its own.
+    """
 
     name: str
     schema: T.StructType
@@ -61,6 +64,7 @@ class WarehouseTable:
     surrogate: str | None = None
     partition: str | None = None
     nullable_key: tuple[str, ...] = ()
+    buckets: int = 4
 
 
 _TYPES = {
@@ -342,6 +346,7 @@ FACT_SHOTS = WarehouseTable(
     surrogate="shot_id",
     partition="season_year",
     nullable_key=("quarter", "mins_left", "secs_left"),
+    buckets=8,
 )
 FACT_GAMES = WarehouseTable(
     "fact_games",
