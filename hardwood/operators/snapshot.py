@@ -16,6 +16,25 @@ CHANGED = "changed"
 SAME = "unchanged"
 DELETED = "deleted"
 
+#: Column of a stage version that holds its row hash, as computed when the version was stored.
+STORED_HASH = "row_hash"
+
+
+def stored_hashes(
+    stage: DataFrame, keys: Sequence[str], columns: Sequence[str], numeric: Collection[str] = (), stamp: str = STAMP
+) -> DataFrame:
+    """Keys, stamp and row hash of every stage version.
+
+    Hashes kept with the versions are taken as they are; then only keys, stamp and hash are read, of tables of any width. Versions stored
+    without one are hashed, and only while there are any does the scan read the other columns.
+    """
+    kept = [*keys, stamp]
+    if STORED_HASH not in stage.columns:
+        return stage.select(*kept, row_hash(stage, columns, numeric).alias(STORED_HASH))
+    if stage.where(F.col(STORED_HASH).isNull()).isEmpty():
+        return stage.select(*kept, STORED_HASH)
+    return stage.select(*kept, F.coalesce(STORED_HASH, row_hash(stage, columns, numeric)).alias(STORED_HASH))
+
 
 def snapshot_status(
     source: DataFrame,
@@ -24,21 +43,20 @@ def snapshot_status(
     columns: Sequence[str],
     numeric: Collection[str] = (),
     stamp: str = STAMP,
+    with_hash: bool = False,
 ) -> DataFrame:
-    """Every key of either side once, with ``status`` and the source's ``columns``.
+    """Every key of either side once, with ``status``, the source's ``columns`` and, if asked for, their hash to store.
 
     The source row is compared with the latest stage version only. Where a key
     is repeated, both sides choose by the same rule, and a NULL key matches
     itself, so a second run finds nothing to do. Deleted keys have NULL in all
     non-key columns.
     """
-    def hashed(df: DataFrame) -> DataFrame:
-        return df.withColumn("_hash", row_hash(df, columns, numeric))
-
-    incoming = first_per_key(hashed(source.select(*columns)), keys, [F.col("_hash").desc()])
+    hashed = source.select(*columns, row_hash(source, columns, numeric).alias("_hash"))
+    incoming = first_per_key(hashed, keys, [F.col("_hash").desc()])
     stored = first_per_key(
-        hashed(stage.select(*columns, stamp)), keys, [F.col(stamp).desc_nulls_first(), F.col("_hash").desc()]
-    ).select(*keys, F.col("_hash").alias("_stored"))
+        stored_hashes(stage, keys, columns, numeric, stamp), keys, [F.col(stamp).desc_nulls_first(), F.col(STORED_HASH).desc()]
+    ).select(*keys, F.col(STORED_HASH).alias("_stored"))
     status = (
         F.when(F.col("_stored").isNull(), NEW)
         .when(F.col("_hash").isNull(), DELETED)
@@ -49,7 +67,7 @@ def snapshot_status(
     return matched.select(
         *(F.coalesce(f"i.{name}", f"s.{name}").alias(name) if name in keys else F.col(f"i.{name}")
           for name in columns),
-        status.alias("status"),
+        status.alias("status"), *([F.col("_hash").alias(STORED_HASH)] if with_hash else []),
     )
 
 

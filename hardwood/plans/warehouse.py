@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from hardwood import tables as t
 from hardwood.functions.cleaning import numeric_id, start_year
+from hardwood.functions.hashing import row_hash
 from hardwood.operators import changes as changed_by
 from hardwood.operators.audit import load_audit, null_zero_counts, season_backlog
 from hardwood.operators.buckets import BUCKET, touched_buckets
@@ -21,7 +22,7 @@ from hardwood.operators.latest import STAMP
 from hardwood.operators.publish import commit, finish_pending, publish_changes, refresh_partitions, replace_whole
 from hardwood.operators.quality import comment, quality, text_lengths
 from hardwood.operators.scd2 import advance, classify
-from hardwood.operators.snapshot import deleted_keys, rows_to_append, snapshot_status
+from hardwood.operators.snapshot import STORED_HASH, deleted_keys, rows_to_append, snapshot_status
 from hardwood.operators.surrogate import assign_ids
 from hardwood.operators.upsert import upsert
 from hardwood.plans import dimensions, facts, marts
@@ -59,9 +60,10 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(schema.names)
 
-    def stage_table(self, table: t.StageTable, season: int | None = None) -> DataFrame:
-        """Stage rows of a relational table, all seasons or one partition."""
-        return self._stage(table.name, table.schema, season)
+    def stage_table(self, table: t.StageTable, season: int | None = None, hashed: bool = False) -> DataFrame:
+        """Stage rows of a relational table, all seasons or one partition. ``hashed`` adds the stored row hash (NULL where there is none)."""
+        schema = T.StructType([*table.schema.fields, T.StructField(STORED_HASH, T.StringType())]) if hashed else table.schema
+        return self._stage(table.name, schema, season)
 
     def stage_shots(self, season: int | None = None) -> DataFrame:
         types = {"shot_made": T.BooleanType(), "loc_x": T.DoubleType(), "loc_y": T.DoubleType()}
@@ -116,7 +118,7 @@ def sync_static(wh: Warehouse, table: t.StageTable, source: DataFrame, run_at: d
 
     An empty source changes nothing; an empty stage takes every row; tables
     marked ``load_once`` are then left alone; the others get new and changed
-    rows as new versions. Keys gone from the source are all stored below
+    rows as new versions, each with its hash, so that later runs compare hashes without reading or hashing stored rows. Keys gone from the source are all stored below
     ``tech/deleted_keys``, never removed. The source is read once, into a staged copy.
     """
     source = materialize(source, f"source-{table.name}")
@@ -124,14 +126,15 @@ def sync_static(wh: Warehouse, table: t.StageTable, source: DataFrame, run_at: d
         return LoadResult(table.name, "SYNC")
     remarks, n_rows = _inspect(source, table)
     path = wh.path("stage", table.name)
-    stored = wh.stage_table(table)
+    finish_pending(wh.spark, path)
+    stored = wh.stage_table(table, hashed=True)
     if stored.isEmpty():
-        stage.append(source, path, run_at)
+        stage.append(source.withColumn(STORED_HASH, row_hash(source, table.columns, table.numeric)), path, run_at)
         return LoadResult(table.name, "FULL_LOAD", {"new": n_rows}, remarks)
     if table.load_once:
         return LoadResult(table.name, "SKIPPED", remarks=remarks)
     classified = materialize(
-        snapshot_status(source, stored, table.key, table.columns, table.numeric), f"sync-{table.name}"
+        snapshot_status(source, stored, table.key, table.columns, table.numeric, with_hash=True), f"sync-{table.name}"
     )
     counts = _counts(classified)
     if counts.get("new", 0) + counts.get("changed", 0):

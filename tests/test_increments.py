@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from hardwood import tables as t
+from hardwood.functions.hashing import row_hash
 from hardwood.operators import changes, publish
 from hardwood.operators.buckets import bucket_of, folder, in_partitions
 from hardwood.operators.constraints import DuplicateKeyError
+from hardwood.operators.snapshot import stored_hashes
 from hardwood.plans import warehouse as w
 from hardwood.sources import stage
 
@@ -167,6 +169,27 @@ def test_the_mark_of_an_exchange_goes_first(spark, frame, tmp_path, monkeypatch)
     assert not publish.finish_pending(spark, path) and spark.read.parquet(path).count() == 1
 
 
+def test_a_sync_reads_stored_hashes_and_no_other_column(spark, tmp_path):
+    wh = w.Warehouse(spark, str(tmp_path / "wh"))
+
+    def teams(*rows):
+        made = [tuple({"id": i, "full_name": n, "year_founded": y}.get(c) for c in t.TEAM.columns) for i, n, y in rows]
+        return spark.createDataFrame(made, t.TEAM.schema)
+
+    w.sync_static(wh, t.TEAM, teams(("1", "a", "1949.0"), ("2", "b", "1950")), RUNS[0])
+    stored = wh.stage_table(t.TEAM, hashed=True)
+    assert stored.where("row_hash is null").isEmpty()
+    computed = stored.select("id", row_hash(stored, t.TEAM.columns, t.TEAM.numeric).alias("h")).collect()
+    assert {(r.id, r.row_hash) for r in stored.collect()} == {(r.id, r.h) for r in computed}
+    scan = stored_hashes(stored, t.TEAM.key, t.TEAM.columns, t.TEAM.numeric)._jdf.queryExecution().executedPlan().toString()
+    assert "row_hash" in scan and "full_name" not in scan
+    assert w.sync_static(wh, t.TEAM, teams(("1", "a", "1949"), ("2", "B", "1950"), ("3", "c", None)), RUNS[1]).counts == {"unchanged": 1, "changed": 1, "new": 1}
+    # Versions of an older layout have no hash: they are hashed when they are compared.
+    stage.append(teams(("4", "d", "07")), wh.path("stage", "team"), RUNS[2])
+    assert w.sync_static(wh, t.TEAM, teams(("1", "a", "1949"), ("2", "B", "1950.0"), ("4", "d", "7")), RUNS[3]).counts == {"unchanged": 3, "deleted": 1}
+    assert wh.stage_table(t.TEAM).count() == 5 and wh.stage_table(t.TEAM).columns[:-1] == [*t.TEAM.columns]
+
+
 # ------------------------------------------------------------------ marts
 
 
