@@ -48,7 +48,11 @@ def subwords(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def letters(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    """Runs of letters, lower-cased. ``LETTERS`` also takes numerals that are no letters (fractions, superscripts, Roman ones): words with such are split at them."""
+    found = LETTERS.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for word in found for part in "".join(c if c.isalpha() else " " for c in word).split()]
 
 
 class SubwordModel:

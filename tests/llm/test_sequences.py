@@ -371,6 +371,23 @@ def test_forms_lead_on_to_the_last(spark):
     assert {r.root for r in found} == {"040"} and len(found) == 40
 
 
+def test_numerals_are_no_letters():
+    from hardwood.llm.subwords import letters
+
+    assert letters("½ ² ³ ① Ⅷ") == [] and letters("a½b Éx²") == ["a", "b", "éx"] and letters("ab 1c_d") == ["ab", "c", "d"] and letters(None) == []
+
+
+def test_mixing_moves_no_text(spark, monkeypatch):
+    """Documents are repeated in the pass that classifies them: no exchange and no join, whatever their number."""
+    from hardwood.llm import mixing
+
+    docs = frame(spark, [(i, "the cat and the dog" if i % 2 else "der hund und die katze") for i in range(40)])
+    labels = docs.select("doc_id", F.when(F.col("doc_id") % 2 == 1, "en").otherwise("de").alias("label"))
+    stored = common.staged(docs, "docs")
+    plan = mixing.mixed(stored, labels, {"en": 0.8, "de": 0.2}, least=1)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "MapInArrow" in plan
+
+
 def test_empty_tables_keep_their_columns(spark):
     nothing = frame(spark, [(1, "a")]).filter("false")
     assert substrings.without_repeats(nothing).collect() == [] and variants.variants(nothing).collect() == []
