@@ -3,10 +3,14 @@
 Each whole text is measured once. A measure's sketch is a histogram over buckets whose bounds
 grow by ``GROWTH`` (so a quantile is off by less than that factor), with the least value seen per bucket. Such
 sketches merge by adding counts: tasks fold theirs before the shuffle, and the sketches of
-sources merge to those of languages and of the corpus. A group's fences are its quartiles moved out by
-``SPREADS`` times their distance (or a least spread, for measures that are mostly equal). Groups with fewer
-than ``ENOUGH`` texts borrow the fences of their language, and languages those of the corpus. Texts are then joined to the fences
-of their group; only DataFrame functions are used.
+sources merge to those of languages and of the corpus. A group's ceiling is a high quantile moved out by a multiple of its
+distance from a low one, and its floor, where low values fail too, the low one moved down alike (``MEASURES``). No
+distance below the sketch's own error, one bucket, is believed; there is no other least spread. Every group's fences are averaged with those of its language, and
+a language's with those of the corpus, which weigh as much as ``PRIOR`` texts: small groups lean on their parents, large ones stand alone, and no count
+switches. Texts are then joined to the fences of their group; only DataFrame functions are used.
+
+Symbols and repeats are read as (count + 3) per word, the bound that a rate without a single hit in n words still has: a
+short text has an uncertain rate, and groups without any mark differ by the lengths of their texts instead of all being zero.
 
 Windows of three words are compared by 64-bit hashes within one text.
 
@@ -22,10 +26,12 @@ from pyspark.sql import functions as F
 
 from hardwood.llm.common import staged
 
-GROWTH, ENOUGH, SPREADS = 1.02, 200, 3
-#: Measure (in thousandths): its least spread, and whether a low value fails too.
+GROWTH, PRIOR = 1.02, 100
+#: What a bucket's bounds differ by, in hundredths.
+ERROR = round(100 * GROWTH) - 100
+#: Measure (in thousandths): low and high quantile in hundredths, how many of their distances the fence lies beyond, and whether a low value fails too.
 MEASURES = {
-    "mean_word": (600, True), "symbols": (40, False), "dup_lines": (100, False), "repeats": (100, False),
+    "mean_word": (25, 75, 3, True), "symbols": (50, 90, 3, False), "dup_lines": (50, 98, 1, False), "repeats": (50, 95, 3, False),
 }
 BLANK = "[\\x20\\x09-\\x0D]+"
 
@@ -62,8 +68,8 @@ def with_measures(counts: DataFrame) -> DataFrame:
     ).withColumns({
         name: F.expr(f"1000 * {part} div greatest({whole}, 1)")
         for name, part, whole in (
-            ("mean_word", "word_chars", "n_words"), ("symbols", "n_symbols", "n_words"), ("dup_lines", "n_dup_lines", "n_lines"),
-            ("repeats", "n_repeat_words", "n_words"),
+            ("mean_word", "word_chars", "n_words"), ("symbols", "(n_symbols + 3)", "n_words"), ("dup_lines", "n_dup_lines", "n_lines"),
+            ("repeats", "(n_repeat_words + 3)", "n_words"),
         )
     })
 
@@ -85,37 +91,43 @@ def merged(sketch: DataFrame, *by: str) -> DataFrame:
 
 
 def fences(sketch: DataFrame, *by: str) -> DataFrame:
-    """Per group: rows, and floor_ and ceiling_ of each measure. Quartiles are read off the running counts of a sketch's buckets."""
+    """Per group: rows, and its own floor_ and ceiling_ of each measure. Quantiles are read off the running counts of a sketch's buckets."""
     order = Window.partitionBy(*by, "measure").orderBy("bucket")
     whole = Window.partitionBy(*by, "measure")
     running = sketch.withColumns({"upto": F.sum("n").over(order), "total": F.sum("n").over(whole)})
 
-    def quartile(m: str, part: int) -> Column:
-        return F.min(F.when((F.col("measure") == m) & (4 * F.col("upto") >= part * F.col("total")), F.col("low")))
+    def quantile(m: str, part: int) -> Column:
+        return F.min(F.when((F.col("measure") == m) & (100 * F.col("upto") >= part * F.col("total")), F.col("low")))
 
     columns = []
-    for m, (least, both) in MEASURES.items():
-        low, high = quartile(m, 1), quartile(m, 3)
-        reach = SPREADS * F.greatest(high - low, F.lit(least))
-        columns += [(low - reach if both else F.lit(-1).cast("long")).alias(f"floor_{m}"), (high + reach).alias(f"ceiling_{m}")]
+    for m, (lower, upper, times, both) in MEASURES.items():
+        low, high = quantile(m, lower), quantile(m, upper)
+        reach = times * F.greatest(high - low, F.ceil(high * ERROR / 100))
+        columns += [(F.greatest(low - reach, F.lit(0)) if both else F.lit(0)).cast("long").alias(f"floor_{m}"), (high + reach).alias(f"ceiling_{m}")]
     return running.groupBy(*by).agg(F.max("total").alias("rows"), *columns)
 
 
+def blended(own: Column, rows: Column, parent: Column) -> Column:
+    """A group's fence with its parent's, which counts as ``PRIOR`` texts; whole numbers, rounded down."""
+    sum_ = rows * own + PRIOR * parent
+    return ((sum_ - F.pmod(sum_, rows + PRIOR)) / (rows + PRIOR)).cast("long")
+
+
 def thresholds(rows: DataFrame) -> DataFrame:
-    """lang, source and the fences that hold there: the group's own, or its language's, or the corpus's."""
+    """lang, source and the fences that hold there: the group's own, blended with its language's, blended with the corpus's."""
     sketch = staged(sketches(rows), "sketch")
     names = [f"{side}_{m}" for m in MEASURES for side in ("floor", "ceiling")]
     own = fences(sketch, "lang", "source")
-    lang = fences(merged(sketch, "lang"), "lang").select(F.col("lang").alias("l_lang"), F.col("rows").alias("l_rows"), *[F.col(n).alias("l_" + n) for n in names])
     # One row: the corpus's fences are a few numbers.
     corpus = fences(merged(sketch.withColumn("all", F.lit(1)), "all"), "all").first()
+    lang = fences(merged(sketch, "lang"), "lang").select(
+        F.col("lang").alias("l_lang"),
+        *[blended(F.col(n), F.col("rows"), F.lit(corpus[n] if corpus else None).cast("long")).alias("l_" + n) for n in names],
+    )
     joined = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")))
-    chosen = [
-        F.when(F.col("rows") >= ENOUGH, F.col(n)).when(F.col("l_rows") >= ENOUGH, F.col("l_" + n))
-        .otherwise(F.lit(corpus[n] if corpus else None).cast("long")).alias(n)
-        for n in names
-    ]
-    return joined.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *chosen)
+    return joined.select(
+        F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *[blended(F.col(n), F.col("rows"), F.col("l_" + n)).alias(n) for n in names]
+    )
 
 
 def judge(docs: DataFrame) -> DataFrame:

@@ -128,20 +128,28 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def _quality_rules_sql() -> str:
-    r"""Windows and lines by unnesting; sketches as bucket counts at the three levels; fences from running counts."""
-    measures = quality_rules.MEASURES
+    r"""Windows and lines by unnesting; sketches as bucket counts at the three levels; fences from running counts, blended downwards."""
+    measures, prior = quality_rules.MEASURES, quality_rules.PRIOR
     levels = {"own": "lang, source", "by_lang": "lang", "corpus": "1"}
-    quartiles = []
+
+    def told(k: int) -> str:
+        return "CASE measure " + " ".join(f"WHEN '{m}' THEN {v[k]}" for m, v in measures.items()) + " END"
+
+    quantiles = []
     for level, by in levels.items():
         named = "lang, source" if level == "own" else "lang, NULL AS source" if level == "by_lang" else "NULL AS lang, NULL AS source"
-        quartiles.append(f"""
-            SELECT '{level}' AS level, {named}, measure, max(total) AS n_rows, min(low) FILTER (WHERE 4 * upto >= total) AS q1,
-                   min(low) FILTER (WHERE 4 * upto >= 3 * total) AS q3
+        quantiles.append(f"""
+            SELECT '{level}' AS level, {named}, measure, max(total)::BIGINT AS n_rows, min(low) FILTER (WHERE 100 * upto >= {told(0)} * total) AS q_low,
+                   min(low) FILTER (WHERE 100 * upto >= {told(1)} * total) AS q_high
             FROM (SELECT *, sum(n) OVER (PARTITION BY {by}, measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {by}, measure) AS total
                   FROM (SELECT {by + ', ' if by != '1' else ''} measure, bucket, sum(n) AS n, min(low) AS low FROM sketch GROUP BY ALL) AS s) AS r
             GROUP BY ALL""")
-    least = " ".join(f"WHEN '{m}' THEN {spread}" for m, (spread, _) in measures.items())
-    both = ", ".join(f"'{m}'" for m, (_, two) in measures.items() if two)
+    both = ", ".join(f"'{m}'" for m, v in measures.items() if v[3])
+
+    def blended(side: str) -> str:
+        by_lang = f"((g.n_rows * g.{side} + {prior} * c.{side}) // (g.n_rows + {prior}))"
+        return f"(o.n_rows * o.{side} + {prior} * {by_lang}) // (o.n_rows + {prior})"
+
     return f"""
         WITH w AS (
             SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
@@ -158,29 +166,26 @@ def _quality_rules_sql() -> str:
                    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words
             FROM w LEFT JOIN covered AS c ON c.rid = w.rid),
         rows_ AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 1000 * word_chars // greatest(n_words, 1) AS mean_word,
-                         1000 * n_symbols // greatest(n_words, 1) AS symbols, 1000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines,
-                         1000 * n_repeat_words // greatest(n_words, 1) AS repeats
+                         1000 * (n_symbols + 3) // greatest(n_words, 1) AS symbols, 1000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines,
+                         1000 * (n_repeat_words + 3) // greatest(n_words, 1) AS repeats
                   FROM counts),
         long AS ({" UNION ALL ".join(f"SELECT rid, lang, source, base_failed, {k} AS place, '{m}' AS measure, {m} AS value FROM rows_" for k, m in enumerate(measures))}),
         sketch AS (
             SELECT lang, source, measure, CASE WHEN value <= 0 THEN 0 ELSE 1 + ceil(ln(value::DOUBLE) / ln({quality_rules.GROWTH})) END AS bucket,
                    count(*) AS n, min(value) AS low
             FROM long WHERE NOT base_failed GROUP BY ALL),
-        quartiles AS ({" UNION ALL ".join(quartiles)}),
+        quantiles AS ({" UNION ALL ".join(quantiles)}),
+        reaches AS (SELECT *, {told(2)} * greatest(q_high - q_low, ceil(q_high * {quality_rules.ERROR} / 100)::BIGINT) AS reach FROM quantiles),
         fences AS (
-            SELECT level, lang, source, measure, n_rows,
-                   CASE WHEN measure IN ({both}) THEN q1 - {quality_rules.SPREADS} * greatest(q3 - q1, CASE measure {least} END) ELSE -1 END AS low,
-                   q3 + {quality_rules.SPREADS} * greatest(q3 - q1, CASE measure {least} END) AS high
-            FROM quartiles),
+            SELECT level, lang, source, measure, n_rows, CASE WHEN measure IN ({both}) THEN greatest(q_low - reach, 0) ELSE 0 END AS low, q_high + reach AS high
+            FROM reaches),
         judged AS (
             SELECT l.rid, string_agg(l.measure, ',' ORDER BY l.place) AS failed
             FROM long AS l
-            LEFT JOIN fences AS o ON o.level = 'own' AND o.lang IS NOT DISTINCT FROM l.lang AND o.source IS NOT DISTINCT FROM l.source AND o.measure = l.measure
-            LEFT JOIN fences AS g ON g.level = 'by_lang' AND g.lang IS NOT DISTINCT FROM l.lang AND g.measure = l.measure
-            LEFT JOIN fences AS c ON c.level = 'corpus' AND c.measure = l.measure
-            WHERE NOT l.base_failed AND (
-                l.value < CASE WHEN o.n_rows >= {quality_rules.ENOUGH} THEN o.low WHEN g.n_rows >= {quality_rules.ENOUGH} THEN g.low ELSE c.low END
-                OR l.value > CASE WHEN o.n_rows >= {quality_rules.ENOUGH} THEN o.high WHEN g.n_rows >= {quality_rules.ENOUGH} THEN g.high ELSE c.high END)
+            JOIN fences AS o ON o.level = 'own' AND o.lang IS NOT DISTINCT FROM l.lang AND o.source IS NOT DISTINCT FROM l.source AND o.measure = l.measure
+            JOIN fences AS g ON g.level = 'by_lang' AND g.lang IS NOT DISTINCT FROM l.lang AND g.measure = l.measure
+            JOIN fences AS c ON c.level = 'corpus' AND c.measure = l.measure
+            WHERE NOT l.base_failed AND (l.value < {blended("low")} OR l.value > {blended("high")})
             GROUP BY l.rid)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND failed IS NULL AS kept,
                CASE WHEN base_failed THEN 'base' ELSE coalesce(failed, '') END AS failed

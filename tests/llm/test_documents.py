@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hardwood.llm import exact_dedup, html_text, language, mixing, pieces, pii, quality, quality_rules, simhash, subwords, toxicity, trees
-from hardwood.llm.common import keep_rows, ready, row_key
+from hardwood.llm.common import keep_rows, ready, row_key, staged
 from hardwood.llm.components import components
 from hardwood.llm.queries import tokenizer_file
 
@@ -254,6 +254,30 @@ def test_thresholds_follow_the_group(spark):
     assert not kept[600] and kept[601] and kept[603] and sum(kept[i] for i in range(600)) > 590
 
 
+def test_every_fence_moves_with_language_and_source(spark):
+    """On the given texts no fence is a constant, and the sketch's own error, the only least distance, hardly ever decides."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    try:
+        docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8)
+        held = quality_rules.thresholds(staged(quality_rules.with_measures(quality_rules.measured(docs)), "measured")).collect()
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    for measure, (_, _, _, both) in quality_rules.MEASURES.items():
+        for side in ("floor", "ceiling") if both else ("ceiling",):
+            by_lang = {}
+            for r in held:
+                by_lang.setdefault(r.t_lang, set()).add(r[f"{side}_{measure}"])
+            assert len(by_lang) == 4 and len(set(map(frozenset, by_lang.values()))) == 4
+            assert all(len(values) > 1 for values in by_lang.values()), (measure, side)
+
+
+def test_small_groups_lean_on_their_parents_by_count(spark):
+    """Own and parent fences are averaged by rows and PRIOR: held against the same arithmetic on plain numbers."""
+    rows = spark.createDataFrame([(own, n, parent) for own in (0, 7, 1000) for n in (1, 99, 100, 10**9) for parent in (0, 13, 999)], "own long, n long, parent long")
+    got = rows.select("own", "n", "parent", quality_rules.blended(F.col("own"), F.col("n"), F.col("parent")).alias("b")).collect()
+    assert all(r.b == (r.n * r.own + quality_rules.PRIOR * r.parent) // (r.n + quality_rules.PRIOR) for r in got)
+
+
 def test_sketches_merge_to_the_sketch_of_the_whole(spark):
     rows = spark.range(5000).selectExpr("id % 7 as lang", "id % 3 as source", "false as base_failed", *(f"(id * id) % 1009 as {m}" for m in quality_rules.MEASURES))
     parts = quality_rules.merged(quality_rules.sketches(rows), "lang")
