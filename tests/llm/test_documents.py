@@ -338,6 +338,72 @@ def test_keys_and_split_cards_are_added(spark):
     assert got[100] == "card:4:20,card:21:37" and got[101] == got[102] == ""
 
 
+def added(found, kind):
+    """Spans of a kind that the method added to the base ones, by document."""
+    spans = lambda x: {s for s in x.split(",") if s.startswith(kind + ":")}
+    return {r.doc_id: sorted(spans(r.spans) - spans(r.base_spans)) for r in found.collect()}
+
+
+def test_numbers_that_fail_their_check_digits_are_no_cards(spark):
+    rng = random.Random(6)
+    junk = []
+    while len(junk) < 300:
+        digits = "".join(rng.choice("0123456789") for _ in range(16))
+        junk += [] if luhn(digits) else [digits]
+    rows = [(i, f"of thore {d} and the rest") for i, d in enumerate(junk)]
+    alone = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert not any(added(alone, "card").values())
+    rows += [(1000 + i, f"the card 4111111111111111 {d}") for i, d in enumerate(junk[:20])] + [(2000, "pay 4111111111111111 5500000000000004 now")]
+    found = added(pii.find(spark.createDataFrame(rows, "doc_id long, text string")), "card")
+    assert found.pop(2000) == ["card:21:37", "card:4:20"]
+    assert {k: v for k, v in found.items() if v} == {1000 + i: ["card:9:25"] for i in range(20)}
+
+
+def test_national_phones_and_late_digits(spark):
+    rng = random.Random(7)
+    two = lambda: f"{rng.randrange(100):02d}"
+    french = [f"appelez le 06 {two()} {two()} {two()} {two()} ce soir" for _ in range(30)]
+    german = [f"Anruf unter 0171 {rng.randrange(10**6, 10**7)} heute" for _ in range(30)]
+    late = "x" * 150 + "1" + "abcdef"
+    rows = list(enumerate(french + german)) + [(100, f"key {late}"), (101, "in 2010 and 2011 were 300 400 books"), (102, "the sum 12 34 56 78 90")]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    phones = added(found, "phone")
+    assert all(phones[i] == ["phone:11:25"] for i in range(30)) and all(phones[i] == ["phone:12:24"] for i in range(30, 60))
+    assert phones[101] == phones[102] == []
+    read = {r.doc_id: [c.votes for c in r.candidates] for r in pii.read(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(read[100]) == 1
+
+
+def test_a_labeler_that_always_says_yes_counts_for_nothing():
+    rng = random.Random(3)
+    counts = Counter()
+    for _ in range(4000):
+        truth = 1 if rng.random() < 0.3 else -1
+        counts[0, (*(truth if rng.random() < p else -truth for p in (0.95, 0.9, 0.85)), 0, 1)] += 1
+    share, rates, belief = pii.estimate([(k, v, n) for (k, v), n in counts.items()])
+    assert abs(share[0] - 0.3) < 0.05 and abs(rates[0, 4, 1, True] - rates[0, 4, 1, False]) < 0.02
+    assert belief[0, (-1, -1, -1, 0, 1)] < 0.05 and belief[0, (1, 1, 1, 0, 1)] > 0.95
+
+
+def test_account_numbers_by_their_check_digits(spark):
+    rows = [("DE89370400440532013000",), ("GB82WEST12345698765432",), ("DE88370400440532013000",), ("FR1420041010050500013M02606",)]
+    assert [r[0] for r in spark.createDataFrame(rows, "v string").select(pii._rest97(F.col("v")) == 1).collect()] == [True, True, False, True]
+
+
+def test_no_false_card_is_added_on_the_given_texts(spark):
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    try:
+        docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(8).select("doc_id", "text")
+        found = pii.find(docs)
+        extra = {i: spans for i, spans in added(found, "card").items() if spans}
+        texts = {r.doc_id: r.text for r in docs.filter(F.col("doc_id").isin(list(extra) or [-1])).collect()}
+        values = [texts[i][int(s.split(":")[1]):int(s.split(":")[2])] for i, spans in extra.items() for s in spans]
+        assert all(luhn(re.sub("[^0-9]", "", v)) for v in values)
+        assert sum(map(len, added(found, "secret").values())) >= 150
+    finally:
+        spark.conf.set("spark.sql.codegen.wholeStage", "false")
+
+
 def test_reliabilities_find_the_good_labelers():
     rng = random.Random(1)
     counts = Counter()
