@@ -327,7 +327,38 @@ SYNC_MODES_SQL = """
     SELECT CAST(step AS INTEGER) AS step, mode, status, n_rows FROM told WHERE n_rows > 0 OR status = 'none'
 """
 
+# --------------------------------------------------------- newest versions
+
+
+def newest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as players through three syncs, and the slice of newest versions that follows them. Keys of nation 0 repeat in each source."""
+    wh, customer = _warehouse(spark), s.read(spark, sf_dir, "customer")
+    repeats = F.col("c_nationkey") == 0
+
+    def players(segment: Column) -> DataFrame:
+        # Repeated keys are the same in every source.
+        names = F.when(repeats, F.array("c_mktsegment", F.lit("twin"))).otherwise(F.array(segment))
+        rows = customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("full_name"), F.lit(None).alias("first_name"), F.explode(names).alias("last_name"))
+        return extracts.as_declared(rows, t.PLAYER)
+
+    indebted = F.when(F.col("c_acctbal") < 0, F.lit("debt")).otherwise(F.col("c_mktsegment"))
+    fifth = F.when(F.col("c_custkey") % 5 == 0, F.lit("fifth")).otherwise(indebted)
+    for run, segment in zip(RUNS, (F.col("c_mktsegment"), indebted, fifth)):
+        sync_static(wh, t.PLAYER, players(segment), run)
+    return wh.newest_stage(t.PLAYER).select("id", "full_name", "last_name", STAMP)
+
+
+NEWEST_VERSIONS_SQL = """
+    SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS full_name,
+           CASE WHEN c_nationkey = 0 THEN c_mktsegment WHEN c_custkey % 5 = 0 THEN 'fifth' WHEN c_acctbal < 0 THEN 'debt' ELSE c_mktsegment END AS last_name,
+           CASE WHEN c_nationkey = 0 THEN TIMESTAMP '2024-01-01 00:00:00' WHEN c_custkey % 5 = 0 THEN TIMESTAMP '2024-03-01 00:00:00'
+                WHEN c_acctbal < 0 THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS load_timestamp
+    FROM customer
+    UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, 'twin', TIMESTAMP '2024-01-01 00:00:00' FROM customer WHERE c_nationkey = 0
+"""
+
 QUERIES = {
+    "newest_versions": (newest_versions, NEWEST_VERSIONS_SQL),
     "team_chain": (team_chain, TEAM_CHAIN_SQL),
     "reload_games": (reload_games, DIM_GAME_BUILD_SQL),
     "reload_shots": (reload_shots, RELOAD_SHOTS_SQL),

@@ -19,6 +19,7 @@ from hardwood.operators.buckets import BUCKET, touched_buckets
 from hardwood.operators.constraints import align, check_unique, fill_defaults
 from hardwood.operators.delta import INSERTED, UNCHANGED, known_rows, newer_than_target
 from hardwood.operators.latest import STAMP
+from hardwood.operators.newest import RUN, read_newest
 from hardwood.operators.publish import commit, finish_pending, publish_changes, refresh_partitions, replace_whole
 from hardwood.operators.quality import comment, quality, text_lengths
 from hardwood.operators.scd2 import advance, classify
@@ -65,6 +66,15 @@ class Warehouse:
         schema = T.StructType([*table.schema.fields, T.StructField(STORED_HASH, T.StringType())]) if hashed else table.schema
         return self._stage(table.name, schema, season)
 
+    def newest_stage(self, table: t.StageTable, hashed: bool = False) -> DataFrame:
+        """Newest stored version per key of a static table; of equal stamps all rows. Reads the slice kept for this, which it first brings up to date."""
+        fields = [*table.schema.fields, T.StructField(STORED_HASH, T.StringType()), T.StructField(STAMP, t.NTZ)]
+        path = self.path("stage", table.name)
+        finish_pending(self.spark, path)
+        versions = self.read("stage", table.name, T.StructType([*fields, T.StructField(RUN, T.StringType())]))
+        newest = read_newest(versions, path, table.key) if stage.path_exists(self.spark, path) else versions.drop(RUN)
+        return newest if hashed else newest.drop(STORED_HASH)
+
     def stage_shots(self, season: int | None = None) -> DataFrame:
         types = {"shot_made": T.BooleanType(), "loc_x": T.DoubleType(), "loc_y": T.DoubleType()}
         schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in t.SHOT_SCHEMA.fields])
@@ -118,7 +128,8 @@ def sync_static(wh: Warehouse, table: t.StageTable, source: DataFrame, run_at: d
 
     An empty source changes nothing; an empty stage takes every row; tables
     marked ``load_once`` are then left alone; the others get new and changed
-    rows as new versions, each with its hash, so that later runs compare hashes without reading or hashing stored rows. Keys gone from the source are all stored below
+    rows as new versions, each with its hash, so that later runs compare hashes without reading or hashing stored rows, and only
+    those of the newest versions (see ``operators.newest``). Keys gone from the source are all stored below
     ``tech/deleted_keys``, never removed. The source is read once, into a staged copy.
     """
     source = materialize(source, f"source-{table.name}")
@@ -127,12 +138,12 @@ def sync_static(wh: Warehouse, table: t.StageTable, source: DataFrame, run_at: d
     remarks, n_rows = _inspect(source, table)
     path = wh.path("stage", table.name)
     finish_pending(wh.spark, path)
-    stored = wh.stage_table(table, hashed=True)
-    if stored.isEmpty():
+    if wh.stage_table(table).isEmpty():
         stage.append(source.withColumn(STORED_HASH, row_hash(source, table.columns, table.numeric)), path, run_at)
         return LoadResult(table.name, "FULL_LOAD", {"new": n_rows}, remarks)
     if table.load_once:
         return LoadResult(table.name, "SKIPPED", remarks=remarks)
+    stored = wh.newest_stage(table, hashed=True)
     classified = materialize(
         snapshot_status(source, stored, table.key, table.columns, table.numeric, with_hash=True), f"sync-{table.name}"
     )
@@ -316,23 +327,27 @@ def load_dds(wh: Warehouse, run_at: dt.datetime, season: int | None = None) -> l
     """All dimensions, then both facts. With ``season`` the season tables are read from that partition alone.
 
     Loads that don't need each other run at the same time. What is parsed is
-    written once with its reason of refusal; candidates, rejects and the id watch read that copy.
+    written once with its reason of refusal; candidates, rejects and the id watch read that copy. Static tables are read in
+    their newest versions; only rows without a key, and the sentinels that the id watch counts, are looked for in all of them.
     """
     games = wh.stage_table(t.GAME, season)
     shots = wh.stage_shots(season)
-    teams, players = wh.stage_table(t.TEAM), wh.stage_table(t.COMMON_PLAYER_INFO)
+    teams, details, players, paint = together(*(
+        lambda table=table: wh.newest_stage(table) for table in (t.TEAM, t.TEAM_DETAILS, t.COMMON_PLAYER_INFO, t.OTHER_STATS)
+    ))
+    all_players = wh.stage_table(t.COMMON_PLAYER_INFO)
     # Id columns watched per table.
     sides = ("team_id_home", "team_id_away")
 
     def team() -> LoadResult:
-        result = load_history(wh, t.DIM_TEAM, dimensions.dim_team(teams, wh.stage_table(t.TEAM_DETAILS)), run_at)
-        return _with_rejects(wh, result, dimensions.unusable(teams, "id"), run_at)
+        result = load_history(wh, t.DIM_TEAM, dimensions.dim_team(teams, details), run_at)
+        return _with_rejects(wh, result, dimensions.unusable(wh.stage_table(t.TEAM), "id"), run_at)
 
     def player() -> LoadResult:
         found = materialize(dimensions.dim_player(players), "players")
-        watch = IdWatch(("team_id",), players, ("team_id",), found)
+        watch = IdWatch(("team_id",), all_players, ("team_id",), found)
         return _with_rejects(
-            wh, load_history(wh, t.DIM_PLAYER, found, run_at, watch), dimensions.unusable(players, "person_id"), run_at
+            wh, load_history(wh, t.DIM_PLAYER, found, run_at, watch), dimensions.unusable(all_players, "person_id"), run_at
         )
 
     def game() -> LoadResult:
@@ -355,7 +370,7 @@ def load_dds(wh: Warehouse, run_at: dt.datetime, season: int | None = None) -> l
     def game_facts() -> LoadResult:
         classified = materialize(facts.classify_game_sides(games, times), "classified-sides")
         watch = IdWatch(("team_id",), games, sides, classified)
-        newest = facts.newest_sides(classified, wh.stage_table(t.OTHER_STATS))
+        newest = facts.newest_sides(classified, paint)
         return _with_rejects(wh, load_upsert(wh, t.FACT_GAMES, newest, watch), classified, run_at)
 
     return results + together(shot_facts, game_facts)

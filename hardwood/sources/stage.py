@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hardwood.operators.latest import STAMP
+from hardwood.operators.newest import RUN, forget
 from hardwood.operators.publish import commit, finish_pending
 from hardwood.storage import delete_path, path_exists
 
@@ -27,10 +28,13 @@ def append(df: DataFrame, path: str, run_at: dt.datetime) -> None:
     """Add rows as new versions; earlier versions stay.
 
     The rows of a run lie in a partition of their own, which is exchanged all or none: a run that is repeated
-    after it died, or done twice, stores its rows once.
+    after it died, or done twice, stores its rows once. The slice of newest versions may hold what such a run stored before, and is built again.
     """
-    finish_pending(df.sparkSession, path)
-    commit(stamped(df, run_at).withColumn("run", F.lit(run_at.strftime("r%Y%m%dT%H%M%S%f"))), path, ["run"])
+    spark, run = df.sparkSession, run_at.strftime("r%Y%m%dT%H%M%S%f")
+    finish_pending(spark, path)
+    if path_exists(spark, f"{path}/{RUN}={run}"):
+        forget(spark, path)
+    commit(stamped(df, run_at).withColumn(RUN, F.lit(run)), path, [RUN])
 
 
 def replace_season(df: DataFrame, path: str, year: int, run_at: dt.datetime) -> None:

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from hardwood import tables as t
 from hardwood.functions.hashing import row_hash
-from hardwood.operators import changes, publish
+from hardwood.operators import changes, newest, publish
 from hardwood.operators.buckets import bucket_of, folder, in_partitions
 from hardwood.operators.constraints import DuplicateKeyError
+from hardwood.operators.latest import latest
 from hardwood.operators.snapshot import stored_hashes
 from hardwood.plans import warehouse as w
 from hardwood.sources import stage
@@ -190,6 +191,125 @@ def test_a_sync_reads_stored_hashes_and_no_other_column(spark, tmp_path):
     assert wh.stage_table(t.TEAM).count() == 5 and wh.stage_table(t.TEAM).columns[:-1] == [*t.TEAM.columns]
 
 
+# -------------------------------------------------------- newest versions
+
+
+def team_source(spark, *rows):
+    made = [tuple({"id": i, "full_name": n}.get(c) for c in t.TEAM.columns) for i, n in rows]
+    return spark.createDataFrame(made, t.TEAM.schema)
+
+
+def named(df):
+    return sorted((r.id or "", r.full_name, r.load_timestamp) for r in df.collect())
+
+
+def slice_files(wh):
+    return files(newest.newest_path(wh.path("stage", "team")))
+
+
+def team_buckets(spark, *ids):
+    rows = spark.createDataFrame([(i,) for i in ids], "id string")
+    return {r[0] for r in rows.select(bucket_of(t.TEAM.schema, t.TEAM.key, newest.BUCKETS)).collect()}
+
+
+def test_the_newest_versions_follow_the_stage_table_bucket_by_bucket(spark, tmp_path):
+    wh, path = w.Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "wh/stage/team")
+    assert wh.newest_stage(t.TEAM).isEmpty() and not Path(newest.newest_path(path)).exists()
+    first = [(str(i), "a") for i in range(60)] + [(None, "n"), ("7", "b")]  # a key that repeats, and none
+    w.sync_static(wh, t.TEAM, team_source(spark, *first), RUNS[0])
+    assert named(wh.newest_stage(t.TEAM)) == sorted((i or "", n, RUNS[0]) for i, n in first)
+    before = slice_files(wh)
+
+    stage.append(team_source(spark, ("3", "c"), ("90", "d")), path, RUNS[1])
+    expected = sorted((i or "", n, RUNS[0]) for i, n in first if i != "3") + [("3", "c", RUNS[1]), ("90", "d", RUNS[1])]
+    assert named(wh.newest_stage(t.TEAM)) == sorted(expected)
+    assert {Path(f).parent.name for f in before ^ slice_files(wh)} == {f"bucket={b}" for b in team_buckets(spark, "3", "90") | {-newest.BUCKETS}}
+    after = slice_files(wh)
+    assert named(wh.newest_stage(t.TEAM)) == sorted(expected) and slice_files(wh) == after  # nothing new: nothing written
+
+    # A run dated earlier than stored versions brings no newer one of a known key; a NULL key has a newest version too.
+    stage.append(team_source(spark, ("3", "old"), ("91", "e"), (None, "m")), path, dt.datetime(2023, 1, 1))
+    expected.append(("91", "e", dt.datetime(2023, 1, 1)))
+    assert named(wh.newest_stage(t.TEAM)) == sorted(expected)
+    assert wh.stage_table(t.TEAM).count() == len(first) + 5  # no version is removed from stage
+
+
+def test_newest_versions_give_the_same_row_per_key_as_all_of_them(spark, tmp_path):
+    wh, path = w.Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "wh/stage/team")
+    for n, run in enumerate((RUNS[2], RUNS[0], RUNS[1], RUNS[3])):
+        stage.append(team_source(spark, *((str(i % 40), f"{n}-{i}") for i in range(n * 7, 50 + n) if (i + n) % 3)), path, run)
+        if n != 2:  # two runs at once are merged as well as one
+            assert named(latest(wh.newest_stage(t.TEAM), ["id"])) == named(latest(wh.stage_table(t.TEAM), ["id"]))
+
+
+def test_rows_without_a_stamp_stay_beside_the_newest(frame):
+    rows = frame([("a", 1, RUNS[0]), ("a", 2, RUNS[1]), ("a", 3, None), ("b", 4, None), (None, 5, RUNS[0]), (None, 6, RUNS[1])],
+                 "k string, v int, load_timestamp timestamp_ntz")
+    assert {r.v for r in newest.newest_versions(rows, ["k"]).collect()} == {2, 3, 4, 6}
+    assert newest.newest_versions(rows.where("false"), ["k"]).isEmpty()
+
+
+def test_a_run_stored_anew_is_read_anew(spark, tmp_path):
+    wh, path = w.Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "wh/stage/team")
+    stage.append(team_source(spark, ("1", "a"), ("2", "a")), path, RUNS[0])
+    assert len(named(wh.newest_stage(t.TEAM))) == 2
+    stage.append(team_source(spark, ("1", "b")), path, RUNS[0])
+    assert named(wh.newest_stage(t.TEAM)) == [("1", "b", RUNS[0])]
+
+
+def test_a_slice_is_exchanged_whole_and_one_of_other_buckets_is_rebuilt(spark, tmp_path, monkeypatch):
+    wh, path = w.Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "wh/stage/team")
+    stage.append(team_source(spark, ("1", "a"), ("2", "a")), path, RUNS[0])
+    wh.newest_stage(t.TEAM)
+    stage.append(team_source(spark, ("1", "b"), ("3", "b")), path, RUNS[1])
+    expected = [("1", "b", RUNS[1]), ("2", "a", RUNS[0]), ("3", "b", RUNS[1])]
+    for stop in ("finish_pending", "overwrite_partitions"):
+        monkeypatch.setattr(publish, stop, stopped)
+        with pytest.raises(Stopped):
+            newest.read_newest(wh.read("stage", "team", versions_schema()), path, t.TEAM.key)
+        monkeypatch.undo()
+    assert named(wh.newest_stage(t.TEAM)) == expected
+    monkeypatch.setattr(newest, "BUCKETS", 5)
+    assert named(wh.newest_stage(t.TEAM)) == expected
+    assert {Path(f).parent.name for f in slice_files(wh)} <= {f"bucket={b}" for b in (-5, 0, 1, 2, 3, 4)}
+
+
+def versions_schema():
+    fields = [*t.TEAM.schema.fields, type(t.TEAM.schema["id"])("load_timestamp", t.NTZ), type(t.TEAM.schema["id"])("run", t.TEAM.schema["id"].dataType)]
+    return type(t.TEAM.schema)(fields)
+
+
+def test_a_covered_run_is_not_read_again(spark, tmp_path, monkeypatch):
+    """Of stage only the runs that are new to the slice, and of the slice only the buckets they fall into."""
+    wh, path = w.Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "wh/stage/team")
+    stage.append(team_source(spark, *((str(i), "a") for i in range(50))), path, RUNS[0])
+    wh.newest_stage(t.TEAM)
+    stage.append(team_source(spark, ("1", "b")), path, RUNS[1])
+    seen, fold = [], newest.newest_versions
+
+    def watched(versions, keys):
+        seen.append(versions.select("id", "load_timestamp").collect())
+        return fold(versions, keys)
+
+    monkeypatch.setattr(newest, "newest_versions", watched)
+    held = wh.newest_stage(t.TEAM)
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    new_rows, merged = seen
+    assert [tuple(r) for r in new_rows] == [("1", RUNS[1])]
+    assert team_buckets(spark, *(r.id for r in merged)) == team_buckets(spark, "1") and len(merged) < 20
+    assert all("team__newest/bucket=" in f for f in held.inputFiles()) and "Window" not in plan and "Join" not in plan
+
+
+def test_a_sync_compares_with_the_newest_versions(spark, tmp_path, monkeypatch):
+    wh = w.Warehouse(spark, str(tmp_path / "wh"))
+    w.sync_static(wh, t.TEAM, team_source(spark, ("1", "a"), ("2", "a"), ("2", "z")), RUNS[0])
+    w.sync_static(wh, t.TEAM, team_source(spark, ("1", "b"), ("2", "a"), ("2", "z")), RUNS[1])
+    compared, status = [], w.snapshot_status
+    monkeypatch.setattr(w, "snapshot_status", lambda source, stored, *a, **b: (compared.append(named(stored)), status(source, stored, *a, **b))[1])
+    assert w.sync_static(wh, t.TEAM, team_source(spark, ("1", "a"), ("2", "a"), ("2", "z")), RUNS[2]).counts == {"changed": 1, "unchanged": 1}
+    assert compared == [[("1", "b", RUNS[1]), ("2", "a", RUNS[0]), ("2", "z", RUNS[0])]]
+
+
 # ------------------------------------------------------------------ marts
 
 
