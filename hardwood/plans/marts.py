@@ -6,7 +6,7 @@ and leaves nothing large, and no hot key, for the joins to move.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hardwood.functions.cleaning import numeric_id
@@ -30,39 +30,56 @@ def player_shot_efficiency(
     A player who changed teams within a season keeps one row per zone, the first
     by name and team id. With ``team_versions="all"`` every stored version of a
     team counts its shots again.
+
+    Rows are dealt out twice, per game and then per place, each time over as many
+    tasks as the session names and by keys with few rows each. What a task holds
+    is its share of the ids, not of the names.
     """
     points = F.when(
         F.col("shot_made"), F.when(F.col("shot_type") == THREE_POINTER, 3).otherwise(2)
     ).otherwise(0)
-    folded = shots.groupBy("player_id", "team_id", "zone_id", "time_id").agg(
-        F.count_distinct("game_id").alias("games_played"),
-        F.count(F.lit(1)).alias("shot_attempts"),
-        F.sum(F.when(F.col("shot_made"), 1).otherwise(0)).alias("shots_made"),
-        F.sum(points).alias("points"),
+    tasks = int(shots.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = ["player_id", "team_id", "zone_id", "time_id"]
+    measures = ("shot_attempts", "shots_made", "points")
+    # A game adds few shots to one player's zone, so folding them before the shuffle would fill a task with groups for nothing.
+    # The number of tasks is named, so that small compressed partitions are not gathered into a few whose rows fill one task.
+    per_game = (
+        shots.select(*ids, "game_id", F.when(F.col("shot_made"), 1).otherwise(0).alias("shots_made"), points.alias("points"))
+        .repartition(tasks, *ids, "game_id")
+        .groupBy(*ids, "game_id")
+        .agg(F.count(F.lit(1)).alias("shot_attempts"), *(F.sum(name).alias(name) for name in measures[1:]))
+    )
+    # Zones of the same name compete for one row: they share a number. The dimension has a few dozen rows.
+    names = ("basic_zone", "zone_name", "zone_range")
+    named = zones.select("zone_id", *names).distinct().withColumn("zone_key", F.dense_rank().over(Window.orderBy(*names)))
+    place = ["player_id", "season_year", "zone_key"]
+    folded = (
+        per_game.join(named.select("zone_id", "zone_key"), "zone_id")
+        .join(times.select("time_id", "season_year").distinct(), "time_id")
+        .repartition(tasks, *place)
+        .groupBy(*ids, *place[1:])
+        .agg(F.count("game_id").alias("games_played"), *(F.sum(name).alias(name) for name in measures))
     )
     team_names = (_active(teams) if team_versions == "active" else teams).select(
         numeric_id(F.col("business_key")).alias("team_id"), F.col("full_name").alias("team_name")
     )
-    if team_versions == "all":
-        versions = team_names.groupBy("team_id", "team_name").agg(F.count(F.lit(1)).alias("_versions"))
-        counted = ("shot_attempts", "shots_made", "points")
-        folded = folded.join(versions, "team_id").withColumns(
-            {name: F.col(name) * F.col("_versions") for name in counted}
-        )
-    else:
-        folded = folded.join(team_names, "team_id")
-    player_names = _active(players).select(
-        numeric_id(F.col("business_key")).alias("player_id"), "full_name", "position"
+    versions = first_per_key(
+        team_names.groupBy("team_id", "team_name").agg(F.count(F.lit(1)).alias("_versions")),
+        ["team_id"], [F.col("team_name").asc_nulls_last()],
     )
-    joined = (
-        folded.join(zones.select("zone_id", "basic_zone", "zone_name", "zone_range"), "zone_id")
-        .join(times.select("time_id", "season_year"), "time_id")
-        .join(player_names, "player_id")
+    player_names = first_per_key(
+        _active(players).select(numeric_id(F.col("business_key")).alias("player_id"), "full_name", "position"),
+        ["player_id"], [F.col(name).asc_nulls_last() for name in ("full_name", "position")],
     )
-    one_team = first_per_key(
-        joined,
-        ["player_id", "season_year", "basic_zone", "zone_name", "zone_range"],
-        [F.col(name).asc_nulls_last() for name in ("full_name", "team_id", "team_name", "position")],
+    # The first row by full_name, team_id, team_name and position: a player's names are the same in all rows of a place, and a
+    # team's in all rows of the team, so the team id alone decides, and names are looked up for the rows that stay.
+    of_teams = folded.join(versions, "team_id")
+    if team_versions == "all":
+        of_teams = of_teams.withColumns({name: F.col(name) * F.col("_versions") for name in measures})
+    one_team = (
+        first_per_key(of_teams, place, [F.col("team_id").asc_nulls_last()])
+        .join(player_names, "player_id")
+        .join(named.drop("zone_id").distinct(), "zone_key")
     )
     games = F.col("games_played")
     return one_team.select(

@@ -169,6 +169,39 @@ def test_marts_fold_before_they_join(spark, lineitem, star):
     assert text.rindex("HashAggregate") > text.rindex("Join") and "ReadSchema: struct<l_orderkey:bigint,l_partkey" in text
 
 
+@pytest.mark.parametrize("versions", ["active", "all"])
+def test_shots_are_dealt_out_before_they_fill_a_task(spark, lineitem, star, versions):
+    """No task folds its share of the files, both deals keep their number of tasks, and no name is sorted with the ids."""
+    _, zones, times, teams, players = star([])
+    shots = lineitem.select(
+        F.col("l_orderkey").alias("game_id"), F.col("l_partkey").alias("player_id"), F.col("l_suppkey").alias("team_id"),
+        F.col("l_linenumber").cast("bigint").alias("zone_id"), F.col("l_linenumber").cast("bigint").alias("time_id"),
+        (F.col("l_tax") > 0).alias("shot_made"), F.col("l_returnflag").alias("shot_type"),
+    )
+    lines = plan(marts.player_shot_efficiency(shots, zones, times, teams, players, versions)).split("\n")
+    deals = [i for i, line in enumerate(lines) if "REPARTITION_BY_NUM" in line]
+    assert len(deals) == 2
+    assert "game_id#" in lines[deals[1]] and not [line for line in lines[deals[1]:] if "Aggregate" in line and "game_id#" in line]
+    ranked = next(line for line in lines if "WindowGroupLimit" in line and "zone_key#" in line)
+    assert "team_id#" in ranked and "full_name#" not in ranked and "position#" not in ranked
+
+
+def test_repeated_dimension_rows_give_the_first_by_name(frame, star):
+    """Names are looked up after the row is picked, and still the first by full_name, team_id, team_name and position."""
+    shots, _, _, teams, players = star(
+        [shot(1, 20), shot(2, 20), (3, 7, 20, 2, 1, True, "2PT Field Goal")],
+        [("20", "Gammas", True), ("20", "Betas", True), ("20", None, True)],
+        [("7", None, "A", True), ("7", "Al One", "G", True), ("7", "Al One", "C", True)],
+    )
+    zones = frame([(1, "Paint", None, "near"), (1, "Paint", None, "near"), (2, "Arc", "x", "far")],
+                  "zone_id bigint, basic_zone string, zone_name string, zone_range string")
+    times = frame([(1, 2010), (1, 2010)], "time_id bigint, season_year int")
+    for versions in ("active", "all"):
+        mart = marts.player_shot_efficiency(shots, zones, times, teams, players, versions)
+        assert rows(mart, "full_name", "team_name", "position", "basic_zone", "games_played", "shot_attempts") == [
+            ("Al One", "Betas", "C", "Arc", 1, 1), ("Al One", "Betas", "C", "Paint", 2, 2)]
+
+
 def test_team_totals_shuffle_only_folded_rows(spark, star):
     _, _, times, teams, _ = star([])
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
