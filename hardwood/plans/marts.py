@@ -16,6 +16,9 @@ from hardwood.operators.latest import first_per_key
 # Fixed value: shot type that scores three.
 THREE_POINTER = "3PT Field Goal"
 
+# Tasks over which the games of one player, team, zone and season are spread.
+GAME_SLICES = 4
+
 
 def _active(dimension: DataFrame) -> DataFrame:
     return dimension.where(F.col("is_active"))
@@ -31,8 +34,8 @@ def player_shot_efficiency(
     by name and team id. With ``team_versions="all"`` every stored version of a
     team counts its shots again.
 
-    Rows are dealt out twice, per game and then per place, each time over as many
-    tasks as the session names and by keys with few rows each. What a task holds
+    Rows are dealt out twice, per slice of games and then per place, each time over
+    as many tasks as the session names and by keys with few rows each. What a task holds
     is its share of the ids, not of the names.
     """
     points = F.when(
@@ -43,22 +46,26 @@ def player_shot_efficiency(
     measures = ("shot_attempts", "shots_made", "points")
     # A game adds few shots to one player's zone, so folding them before the shuffle would fill a task with groups for nothing.
     # The number of tasks is named, so that small compressed partitions are not gathered into a few whose rows fill one task.
-    per_game = (
+    # Of a player's games one slice lies in one task, which folds it to a row: few rows are left for the second deal.
+    per_slice = (
         shots.select(*ids, "game_id", F.when(F.col("shot_made"), 1).otherwise(0).alias("shots_made"), points.alias("points"))
-        .repartition(tasks, *ids, "game_id")
-        .groupBy(*ids, "game_id")
+        .withColumn("slice", F.pmod(F.hash("game_id"), F.lit(GAME_SLICES)))
+        .repartition(tasks, *ids, "slice")
+        .groupBy(*ids, "slice", "game_id")
         .agg(F.count(F.lit(1)).alias("shot_attempts"), *(F.sum(name).alias(name) for name in measures[1:]))
+        .groupBy(*ids, "slice")
+        .agg(F.count("game_id").alias("games_played"), *(F.sum(name).alias(name) for name in measures))
     )
     # Zones of the same name compete for one row: they share a number. The dimension has a few dozen rows.
     names = ("basic_zone", "zone_name", "zone_range")
     named = zones.select("zone_id", *names).distinct().withColumn("zone_key", F.dense_rank().over(Window.orderBy(*names)))
     place = ["player_id", "season_year", "zone_key"]
     folded = (
-        per_game.join(named.select("zone_id", "zone_key"), "zone_id")
+        per_slice.join(named.select("zone_id", "zone_key"), "zone_id")
         .join(times.select("time_id", "season_year").distinct(), "time_id")
         .repartition(tasks, *place)
         .groupBy(*ids, *place[1:])
-        .agg(F.count("game_id").alias("games_played"), *(F.sum(name).alias(name) for name in measures))
+        .agg(*(F.sum(name).alias(name) for name in ("games_played", *measures)))
     )
     team_names = (_active(teams) if team_versions == "active" else teams).select(
         numeric_id(F.col("business_key")).alias("team_id"), F.col("full_name").alias("team_name")

@@ -181,7 +181,7 @@ def test_shots_are_dealt_out_before_they_fill_a_task(spark, lineitem, star, vers
     lines = plan(marts.player_shot_efficiency(shots, zones, times, teams, players, versions)).split("\n")
     deals = [i for i, line in enumerate(lines) if "REPARTITION_BY_NUM" in line]
     assert len(deals) == 2
-    assert "game_id#" in lines[deals[1]] and not [line for line in lines[deals[1]:] if "Aggregate" in line and "game_id#" in line]
+    assert "slice#" in lines[deals[1]] and not [line for line in lines[deals[1]:] if "Aggregate" in line and "game_id#" in line]
     ranked = next(line for line in lines if "WindowGroupLimit" in line and "zone_key#" in line)
     assert "team_id#" in ranked and "full_name#" not in ranked and "position#" not in ranked
 
